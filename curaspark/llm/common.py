@@ -36,13 +36,19 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def sweep(spark: SparkSession) -> None:
-    """Delete the scratch tables written so far; only for callers whose earlier results are already written."""
+def written() -> list[str]:
+    """The scratch tables of this process so far."""
+    return list(_written)
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch tables; only for callers who have written all that depends on them."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(conf).delete(path, True)
+        _written.remove(p)
 
 
 _REPEATABLE = re.compile(r"^(Project|Filter|Relation|LogicalRelation|LocalRelation|SubqueryAlias|View|Union)\b")
@@ -91,7 +97,7 @@ def words(text: bytes) -> list[bytes]:
 
 def ascii_lower(text: Column) -> Column:
     """Lower case of which every ASCII word equals the one of lower-casing A-Z alone (KELVIN SIGN would become k)."""
-    return F.lower(F.replace(text, F.lit("K"), F.lit("�")))
+    return F.lower(F.replace(text, F.lit("\u212a"), F.lit("\ufffd")))
 
 
 class WordHash(dict):

@@ -113,3 +113,70 @@ SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(fa.n_base, 0)::BIGINT AS
        coalesce(la.base_labels, '') AS base_labels, coalesce(la.labels, '') AS labels, coalesce(la.score, 0.0)::DOUBLE AS score
 FROM d LEFT JOIN fa ON d.r = fa.r LEFT JOIN la ON d.r = la.r
 """
+
+SQL["op2_benchmark_decontamination"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents),
+b AS (
+  SELECT item_id::VARCHAR AS item,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark),
+w AS (
+  SELECT DISTINCT item, least(len(ws), 10) AS n, array_to_string(ws[i : i + 9], ' ') AS t
+  FROM (SELECT item, ws, unnest(range(1, greatest(len(ws) - 10, 0) + 2)) AS i FROM b WHERE len(ws) > 0)),
+g AS (
+  SELECT r, n, i, array_to_string(ws[i : i + n - 1], ' ') AS t
+  FROM (SELECT r, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM w))),
+h AS (SELECT g.r, g.i, w.n, w.item FROM g JOIN w ON g.n = w.n AND g.t = w.t),
+hw AS (SELECT r, count(DISTINCT p)::BIGINT AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM h) GROUP BY r),
+hi AS (SELECT r, count(DISTINCT item)::BIGINT AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM h GROUP BY r)
+SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, coalesce(hw.n_hit, 0)::BIGINT AS n_hit,
+       coalesce(hi.n_items, 0)::BIGINT AS n_items, sha256(coalesce(hi.items, '')) AS items_sha256,
+       hw.n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hw ON d.r = hw.r LEFT JOIN hi ON d.r = hi.r
+"""
+
+SQL["op3_embedding_near_dedup"] = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a, v b
+  WHERE a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
+r(node, root) AS (
+  SELECT vec_id, vec_id FROM v UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.node),
+c AS (SELECT node, min(root) AS component_id FROM r GROUP BY node),
+n AS (SELECT a, count(*)::BIGINT AS n_links FROM l GROUP BY a)
+SELECT v.vec_id, coalesce(n.n_links, 0)::BIGINT AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+FROM v JOIN c ON v.vec_id = c.node LEFT JOIN n ON n.a = v.vec_id
+"""
+
+SQL["op6_line_dedup"] = r"""
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, i - 1 AS line, ls[i] AS t FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM d)),
+w AS (
+  SELECT doc_id, line, doc_id * 1000000 + line AS place,
+         regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM l),
+c AS (
+  SELECT array_to_string(ws, ' ') AS t, any_value(ws) AS ws, min(place) AS place
+  FROM w WHERE len(ws) > 0 GROUP BY array_to_string(ws, ' ')),
+v AS (
+  SELECT place, len(ws) AS n, i, hash(array_to_string(list_concat(ws[1 : i - 1], ws[i + 1 :]), ' ')) AS rest
+  FROM (SELECT place, ws, unnest(range(1, len(ws) + 1)) AS i FROM c WHERE len(ws) >= 5)),
+o AS (SELECT place, hash(t) AS own FROM c WHERE len(ws) >= 4),
+near AS (
+  SELECT place FROM (SELECT place, min(place) OVER (PARTITION BY n, i, rest) AS m FROM v) WHERE m < place
+  UNION SELECT v.place FROM v JOIN o ON v.rest = o.own WHERE o.place < v.place
+  UNION SELECT o.place FROM v JOIN o ON v.rest = o.own WHERE v.place < o.place),
+gone AS (
+  SELECT w.doc_id, w.line FROM w JOIN c ON array_to_string(w.ws, ' ') = c.t
+  WHERE len(w.ws) > 0 AND (w.place <> c.place OR c.place IN (SELECT place FROM near))),
+g AS (SELECT doc_id, count(*)::BIGINT AS n, string_agg(line::VARCHAR, ',' ORDER BY line) AS removed FROM gone GROUP BY doc_id)
+SELECT d.doc_id, coalesce(len(d.ls), 0)::BIGINT AS n_lines, coalesce(g.n, 0)::BIGINT AS n_removed, coalesce(g.removed, '') AS removed_lines
+FROM d LEFT JOIN g ON d.doc_id = g.doc_id
+"""
