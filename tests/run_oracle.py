@@ -14,7 +14,7 @@ import __spark_entry__ as entry
 if __name__ == "__main__":
     sf, names = sys.argv[1], sys.argv[2:]
     spark = (
-        SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").config("spark.driver.memory", "6g")
+        SparkSession.builder.master(f"local[{os.environ.get('CPUS', 8)}]").config("spark.ui.enabled", "false").config("spark.driver.memory", "6g")
         .config("spark.sql.shuffle.partitions", "8").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
