@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .text import SPACE
 
@@ -22,7 +23,7 @@ PUNCTUATION = {
 }
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc(s: pd.Series) -> pd.Series:
     """Compatibility composition; Spark has no built-in for it."""
     return s.str.normalize("NFKC")

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The fields of a description's metadata, in order, but for the description itself.
 METADATA = (
@@ -52,7 +53,7 @@ def _parses(text: str) -> bool:
     return True
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def recovered(s: pd.Series) -> pd.Series:
     """Each text if it is JSON, else its first balanced object if that is, else null."""
 
