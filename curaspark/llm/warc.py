@@ -119,21 +119,16 @@ def parse(chunks: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
         raise ValueError("the archive ends within a record")
 
 
-def _unzip(data: memoryview, step: int = 1 << 20) -> Iterator[bytes]:
+def _unzip(data: memoryview, step: int = 1 << 16) -> Iterator[bytes]:
     """The contents of gzip members, a piece at a time."""
-    at, d = 0, zlib.decompressobj(31)
-    tail = b""
-    while at < len(data) or tail:
-        piece = tail or bytes(data[at : at + step])
-        at += 0 if tail else step
-        tail = b""
-        out = d.decompress(piece, step)
-        while out or d.unconsumed_tail:
-            yield out
-            out = d.decompress(d.unconsumed_tail, step) if d.unconsumed_tail else b""
-        if d.eof:
-            tail = d.unused_data
-            d = zlib.decompressobj(31)
+    d = zlib.decompressobj(31)
+    for at in range(0, len(data), step):
+        piece = bytes(data[at : at + step])
+        while piece:
+            if d.eof:
+                d = zlib.decompressobj(31)
+            yield d.decompress(piece)
+            piece = d.unused_data
 
 
 def _reader(with_payload: bool):
