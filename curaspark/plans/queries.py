@@ -230,9 +230,9 @@ def cascade_breakdown(spark, d):
 @query(
     """
 WITH t AS (SELECT o_orderkey, [o_custkey % 40, o_orderkey % 40, o_custkey % 40, 41] AS ids FROM orders),
-e AS (SELECT o_orderkey, unnest(ids) AS id, unnest(range(4)) AS at FROM t),
-v AS (SELECT e.o_orderkey, n.n_name AS v, min(e.at) AS at FROM e JOIN nation n ON e.id = n.n_nationkey GROUP BY 1, 2),
-j AS (SELECT o_orderkey, string_agg(v, '|' ORDER BY at) AS names FROM v GROUP BY 1)
+e AS (SELECT o_orderkey, unnest(ids) AS id, unnest(range(4)) AS pos FROM t),
+v AS (SELECT e.o_orderkey, n.n_name AS v, min(e.pos) AS pos FROM e JOIN nation n ON e.id = n.n_nationkey GROUP BY 1, 2),
+j AS (SELECT o_orderkey, string_agg(v, '|' ORDER BY pos) AS names FROM v GROUP BY 1)
 SELECT t.o_orderkey, coalesce(j.names, '') AS n_name FROM t LEFT JOIN j ON t.o_orderkey = j.o_orderkey
 """
 )

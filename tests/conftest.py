@@ -10,7 +10,7 @@ sys.path[:0] = [os.path.dirname(os.path.dirname(os.path.abspath(__file__))), os.
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     s = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master(f"local[{os.environ.get('CPUS', 8)}]")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.shuffle.partitions", "4")
