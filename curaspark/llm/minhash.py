@@ -11,12 +11,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, components, materialize, mix, repeatable, shingles, utf8, with_rid, without, words
+from .common import WordHash, components, few, materialize, mix, repeatable, shingles, utf8, with_rid, without, words
 
 #: Words of a shingle, and the weighted Jaccard similarity from which two documents are linked.
 WIDTH, THRESHOLD = 5, 0.8
 #: BANDS bands of ROWS coordinates: at similarity 0.8 a pair is missed with probability (1 - 0.8**5)**30, 7e-6.
 BANDS, ROWS = 30, 5
+#: Rounds in which a bucket's members are compared with one of them, another one in each round.
+ROUNDS = 3
+#: Documents in a block where members of a bucket are compared with all others.
+BLOCK = 256
+#: Tables of row ids are broadcast up to so many rows; beyond that the texts are shuffled.
+FEW_ROWS = 1_000_000
 
 #: Poisson(1) distribution function, to draw the number of darts in a cell of unit area.
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(20)])
@@ -138,15 +144,83 @@ def _compared(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     return both.mapInArrow(_verifier(width), "a long, b long, similarity double")
 
 
+def _block_comparer(width: int, threshold: float):
+    def compare(table):
+        """Links between the left documents of a block pair and right ones of other components, one for each such component.
+
+        Overlaps come from an index of the right documents' shingles, a left document at a time; no pair is sent on but links.
+        """
+        table = table.combine_chunks()
+        cache = WordHash()
+        left = table.column("is_left").to_numpy(zero_copy_only=False).astype(bool)
+        rids, roots = table.column("rid").to_numpy(), table.column("root").to_numpy()
+        sets = []
+        for text in utf8(table.column("text")):
+            w = words(text)
+            sets.append(weighted(np.fromiter(map(cache.__getitem__, w), np.uint64, len(w)), width))
+        i, j = np.flatnonzero(left), np.flatnonzero(~left)
+        size = np.array([c.sum() for _, c in sets])
+        owner = np.repeat(np.arange(len(j)), [len(sets[k][0]) for k in j])
+        shingle = np.concatenate([sets[k][0] for k in j]) if len(j) else np.zeros(0, np.uint64)
+        count = np.concatenate([sets[k][1] for k in j]) if len(j) else np.zeros(0, np.int64)
+        order = np.argsort(shingle, kind="stable")
+        shingle, owner, count = shingle[order], owner[order], count[order]
+        out: tuple[list, list] = ([], [])
+        for k in i:
+            mine, own = sets[k]
+            low, high = np.searchsorted(shingle, mine, "left"), np.searchsorted(shingle, mine, "right")
+            n = high - low
+            at = np.repeat(low - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+            both = np.bincount(owner[at], np.minimum(count[at], np.repeat(own, n)), len(j))
+            near = np.flatnonzero((both / np.maximum(size[k] + size[j] - both, 1) >= threshold) & (roots[j] != roots[k]))
+            _, first = np.unique(roots[j][near], return_index=True)
+            out[0].extend([rids[k]] * len(first))
+            out[1].extend(rids[j][near[first]])
+        return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
+
+    return compare
+
+
+def _rest(members: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
+    """Links (a, b) between components that share a bucket: in each bucket (members: bucket, rid, root), the documents outside its
+    largest component are compared with all others, block by block."""
+    parts = members.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    buckets = parts.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("big"), F.sum("n").alias("n"), F.count("*").alias("parts"))
+    buckets = buckets.where("parts > 1").select(
+        "bucket",
+        F.col("big.root").alias("big"),
+        F.ceil((F.col("n") - F.col("big.n")) / BLOCK).cast("int").alias("lefts"),
+        F.ceil(F.col("n") / BLOCK).cast("int").alias("rights"),
+    )
+    dealt = members.join(buckets, "bucket")
+    left = dealt.where("root <> big").select(
+        "bucket",
+        F.pmod(F.xxhash64("rid", F.lit(3)), F.col("lefts")).cast("int").alias("i"),
+        F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("j"),
+        F.lit(True).alias("is_left"),
+        "rid",
+        "root",
+    )
+    right = dealt.select(
+        "bucket",
+        F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("i"),
+        F.pmod(F.xxhash64("rid", F.lit(5)), F.col("rights")).cast("int").alias("j"),
+        F.lit(False).alias("is_left"),
+        "rid",
+        "root",
+    )
+    tasks = left.union(right).join(texts, "rid")
+    return tasks.groupBy("bucket", "i", "j").applyInArrow(_block_comparer(width, threshold), "a long, b long")
+
+
 def links(docs: DataFrame, *, width: int = WIDTH, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
-    """(members, links): members (rid, representative) has every row of docs (with __rid and text), links (a, b, similarity) pairs
-    of representatives that are at least `threshold` similar.
-
-    Rows of the same words are one class and go on as one representative. In each bucket of the banded signatures, every member
-    is compared with the bucket's first (as many pairs as members, never all). Members that this leaves in different
-    components are compared with each other as far as the triangle inequality of the Jaccard distance, by way of the first,
-    lets them be similar: so a bucket of one large group gives no pairs of its members, and no link that a shared bucket
-    shows is lost.
+    """(members, links): members (rid, representative) has every row of docs (with __rid and text), links (a, b) pairs of
+    representatives that are at least `threshold` similar, enough to tell the components of all such pairs that share a bucket.
+
+    Rows of the same words are one class and go on as one representative. In each bucket of the banded signatures, members are
+    compared with one of them, by rounds with another one, unless they are in its component already: as many pairs as
+    members, never all. What then is still outside a bucket's largest component is compared with all others there, in
+    blocks, so that no link which a shared bucket shows is lost; a large group of copies is mostly one component by then.
     """
     signed = materialize(docs.select("__rid", "text").mapInArrow(_signer(width, bands, rows), "rid long, content string, bands array<long>"))
     classes = signed.where("content IS NOT NULL").groupBy("content").agg(F.min("rid").alias("representative"), F.first("bands").alias("bands"))
@@ -155,39 +229,31 @@ def links(docs: DataFrame, *, width: int = WIDTH, threshold: float = THRESHOLD,
     members = members.select("rid", F.coalesce("representative", "rid").alias("representative"))
 
     placed = classes.select(F.col("representative").alias("rid"), F.explode("bands").alias("bucket"))
-    buckets = placed.groupBy("bucket").agg(F.min("rid").alias("first"), F.count("*").alias("n")).where("n > 1")
-    shared = materialize(placed.join(buckets, "bucket").select("bucket", "first", "rid", "n"))
-    stars = materialize(shared.where("rid <> first").select(F.col("first").alias("a"), F.col("rid").alias("b")).distinct())
-    needed = stars.select(F.col("a").alias("__rid")).union(stars.select("b")).distinct()
-    texts = materialize(docs.select("__rid", "text").join(needed, "__rid", "left_semi").withColumnRenamed("__rid", "rid"))
-    compared = materialize(_compared(stars, texts, width))
-    found = compared.where(F.col("similarity") >= threshold)
-
-    # Buckets whose members are in several components yet.
-    roots = components(found)
-    placed = (
-        shared.where("n > 2")
-        .join(roots.withColumnRenamed("node", "rid"), "rid", "left")
-        .join(compared.select(F.col("a").alias("first"), F.col("b").alias("rid"), F.col("similarity").alias("near")), ["first", "rid"], "left")
-        .select("bucket", "rid", F.coalesce("root", "rid").alias("root"), F.coalesce("near", F.lit(1.0)).alias("near"), (F.col("rid") == F.col("first")).alias("head"))
-    )
-    placed = materialize(placed)
-    parts = placed.where("NOT head").groupBy("bucket", "root").agg(F.min("near").alias("low"), F.max("near").alias("high"))
-    several = parts.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    parts = materialize(parts.join(several, "bucket", "left_semi"))
-    if parts.limit(1).count():
-        slack = 1 - threshold + 1e-9
-        x = parts.select("bucket", F.col("root").alias("x"), F.col("low").alias("x_low"), F.col("high").alias("x_high"))
-        y = parts.select("bucket", F.col("root").alias("y"), F.col("low").alias("y_low"), F.col("high").alias("y_high"))
-        near = (F.col("x_low") <= F.col("y_high") + slack) & (F.col("y_low") <= F.col("x_high") + slack)
-        cross = x.join(y, "bucket").where((F.col("x") < F.col("y")) & near).select("bucket", "x", "y")
-        a = placed.where("NOT head").select("bucket", F.col("root").alias("x"), F.col("rid").alias("a"), F.col("near").alias("a_near"))
-        b = placed.where("NOT head").select("bucket", F.col("root").alias("y"), F.col("rid").alias("b"), F.col("near").alias("b_near"))
-        pairs = cross.join(a, ["bucket", "x"]).join(b, ["bucket", "y"]).where(F.abs(F.col("a_near") - F.col("b_near")) <= slack)
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = pairs.join(compared.select("a", "b"), ["a", "b"], "left_anti")
-        found = found.union(_compared(pairs, texts, width).where(F.col("similarity") >= threshold))
-    return members, found
+    several = placed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    shared = materialize(placed.join(several, "bucket", "left_semi"))
+    needed = materialize(shared.select(F.col("rid").alias("__rid")).distinct())
+    texts = materialize(docs.select("__rid", "text").join(few(needed, FEW_ROWS), "__rid", "left_semi").withColumnRenamed("__rid", "rid"))
+
+    placed, tested, found = shared.withColumn("root", F.col("rid")), None, None
+    for k in range(ROUNDS):
+        first = placed.groupBy("bucket").agg(F.min_by(F.struct("rid", "root"), F.xxhash64("rid", F.lit(k))).alias("first"))
+        pairs = placed.join(first, "bucket").where(F.col("root") != F.col("first.root"))
+        pairs = pairs.select(F.least("rid", "first.rid").alias("a"), F.greatest("rid", "first.rid").alias("b")).distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        compared = materialize(_compared(pairs, texts, width))
+        tested = compared.select("a", "b") if tested is None else tested.union(compared.select("a", "b"))
+        near = compared.where(F.col("similarity") >= threshold).select("a", "b")
+        found = near if found is None else found.union(near)
+        placed = _rooted(shared, found)
+    return members, found.union(_rest(placed, texts, width, threshold))
+
+
+def _rooted(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """(bucket, rid, root) of the buckets that still hold several components."""
+    placed = shared.join(components(found).withColumnRenamed("node", "rid"), "rid", "left").select("bucket", "rid", F.coalesce("root", "rid").alias("root"))
+    several = placed.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("bucket")
+    return materialize(placed.join(several, "bucket", "left_semi"))
 
 
 def classes(docs: DataFrame, *, keep_text: bool = True, **options) -> DataFrame:
