@@ -14,7 +14,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 #: No source is taken more than so many times.
 MOST_EPOCHS = 3
 #: Documents of one source that are sorted together at most, on average.
-BUCKET_ROWS = 50_000
+BUCKET_ROWS = 2_000
 #: Source tables up to this many rows are broadcast.
 FEW_SOURCES = 10_000
 
