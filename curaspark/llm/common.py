@@ -36,6 +36,17 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows that go to Python at once: texts can be long, and both sides hold a batch or two outside the heap.
+BATCH_ROWS = 512
+
+
+def lean(spark: SparkSession) -> None:
+    """Let this session send rows to Python in small batches from now on."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def written() -> list[str]:
     """The scratch tables of this process so far."""
     return list(_written)
@@ -103,7 +114,7 @@ def ascii_lower(text: Column) -> Column:
 class WordHash(dict):
     """Cache of 64-bit word hashes; emptied when full, which changes no value."""
 
-    limit = 1_000_000
+    limit = 400_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.limit:

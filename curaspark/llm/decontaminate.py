@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, WORD_TABLE, words
+from .common import WORD, WORD_TABLE, lean, words
 from .fmindex import FMIndex
 
 #: Words of a window.
@@ -19,7 +19,7 @@ WINDOW = 10
 #: Benchmark text that one pass holds in each task; a larger benchmark is searched in several passes.
 BLOCK_BYTES = 16 << 20
 #: A shard ends with the batch in which it has so many symbols, or so many bytes of text.
-SHARD_SYMBOLS, SHARD_BYTES = 1 << 20, 32 << 20
+SHARD_SYMBOLS, SHARD_BYTES = 1 << 20, 8 << 20
 #: Text that is split into words at once.
 SPLIT_BYTES = 1 << 20
 
@@ -213,6 +213,7 @@ def find(docs: DataFrame, benchmark: DataFrame, *, block_bytes: int = BLOCK_BYTE
     searched each by itself. An empty benchmark gives no hits, an empty table no rows; columns named n_words or hits are
     replaced.
     """
+    lean(docs.sparkSession)
     names = [c for c in docs.columns if c.lower() not in ("n_words", "hits")]
     out = docs.select(*[F.col(f"`{c}`") for c in names], F.lit(0).cast("long").alias("n_words"), F.array().cast(HITS).alias("hits"))
     text, n = names.index("text"), len(names)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import utf8, without
+from .common import lean, utf8, without
 
 #: Bytes of a window; windows follow one another through the whole text, the last filled up with zeros.
 WINDOW = 128
@@ -212,6 +212,7 @@ def identify(docs: DataFrame, net: Net | None = None, *, keep_text: bool = True,
     `und` and score 0. Rows that repeat get equal results; columns named like those added are replaced; an empty table gives
     no rows.
     """
+    lean(docs.sparkSession)
     docs = without(docs, ["held_out", "lang_pred", "score"])
     if net is None:
         net = fit(docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "text", "lang"), **options)

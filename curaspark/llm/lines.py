@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, materialize, mix, repeatable, utf8, with_rid, without, words
+from .common import WordHash, lean, materialize, mix, repeatable, utf8, with_rid, without, words
 
 #: Words of a line per edit: a line is a near-copy within one edit if that is at most a fifth of the longer line's words.
 WORDS_PER_EDIT = 5
@@ -19,6 +19,8 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = np.uint64(pow(_BASE, -1, 1 << 64))
 _OWN = np.uint64(0xD6E8FEB86659FD93)
 _ORDER = ["doc_id", "rid", "line"]
+#: Rows that a task takes up at once, and keys after which it sends a batch on.
+SLICE_ROWS, BATCH_KEYS = 256, 100_000
 
 
 def halves(w: list[bytes]) -> list[int]:
@@ -56,9 +58,16 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows a few at a time, to hold little of them as Python objects."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(start, SLICE_ROWS)
+
+
 def _lister(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each line with words: where it is, the 128-bit hash of its words, how many, and the keys of its halves."""
-    for batch in batches:
+    for batch in _sliced(batches):
         rids, ids = batch.column("__rid").to_pylist(), batch.column("doc_id").to_pylist()
         out: tuple[list, ...] = tuple([] for _ in range(7))
         for rid, doc_id, text in zip(rids, ids, utf8(batch.column("text"))):
@@ -77,7 +86,7 @@ def _fetcher(squeezed: bool):
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The words of the lines asked for, from their documents."""
         expand = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in _sliced(batches):
             out: tuple[list, ...] = tuple([] for _ in range(4))
             for doc_id, rid, at, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "rid", "lines", "text"))):
                 lines = (expand.decompress(text) if squeezed else text).split(b"\n")
@@ -98,8 +107,14 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     another, and of the second sort each with the one whose own key it is.
     """
     cache = WordHash()
-    for batch in batches:
-        keys, owns, rows = [], [], []
+
+    def out(batch: pa.RecordBatch, keys: list, owns: list, rows: list) -> pa.RecordBatch:
+        take = pa.array(np.concatenate(rows))
+        columns = [*(batch.column(c).take(take) for c in _ORDER), pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(owns))]
+        return pa.RecordBatch.from_arrays(columns, names=[*_ORDER, "key", "own"])
+
+    for batch in _sliced(batches):
+        keys, owns, rows, size = [], [], [], 0
         for r, line in enumerate(batch.column("words").to_pylist()):
             w = line.split()
             h = mix(np.fromiter(map(cache.__getitem__, w), np.uint64, len(w)))
@@ -111,11 +126,12 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             mark[-1] = True
             owns.append(mark)
             rows.append(np.full(len(mark), r))
+            size += len(mark)
+            if size >= BATCH_KEYS:
+                yield out(batch, keys, owns, rows)
+                keys, owns, rows, size = [], [], [], 0
         if rows:
-            take = pa.array(np.concatenate(rows))
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).take(take) for c in _ORDER), pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(owns))], names=[*_ORDER, "key", "own"]
-            )
+            yield out(batch, keys, owns, rows)
 
 
 def _verifier(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,7 +148,7 @@ FEW_LINES = 1_000_000
 def _packer(columns: list[str]):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1)
-        for b in batches:
+        for b in _sliced(batches):
             data = [squeeze.compress(x) if x else x for x in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in columns), pa.array(data, pa.binary())], names=[*columns, "text"])
 
@@ -150,6 +166,7 @@ def _with_lines(docs: DataFrame, columns: list[str], lines: DataFrame, how: str)
 
 def repeated_lines(docs: DataFrame) -> DataFrame:
     """(__rid, lines): the numbers of the lines to be removed from each row of docs (with __rid, doc_id, text) that has any."""
+    lean(docs.sparkSession)
     place = F.struct(*_ORDER)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     lines = materialize(
@@ -200,7 +217,7 @@ def find(docs: DataFrame) -> DataFrame:
 def _cutter(squeezed: bool):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = zstandard.ZstdDecompressor()
-        for b in batches:
+        for b in _sliced(batches):
             texts, stay = [], []
             for text, gone in zip(b.column("text").to_pylist(), b.column("lines").to_pylist()):
                 text = expand.decompress(text) if squeezed and text else text

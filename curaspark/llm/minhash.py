@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, components, few, materialize, mix, repeatable, shingles, utf8, with_rid, without, words
+from .common import WordHash, components, few, lean, materialize, mix, repeatable, shingles, utf8, with_rid, without, words
 
 #: Words of a shingle, and the weighted Jaccard similarity from which two documents are linked.
 WIDTH, THRESHOLD = 5, 0.8
@@ -222,6 +222,7 @@ def links(docs: DataFrame, *, width: int = WIDTH, threshold: float = THRESHOLD,
     members, never all. What then is still outside a bucket's largest component is compared with all others there, in
     blocks, so that no link which a shared bucket shows is lost; a large group of copies is mostly one component by then.
     """
+    lean(docs.sparkSession)
     signed = materialize(docs.select("__rid", "text").mapInArrow(_signer(width, bands, rows), "rid long, content string, bands array<long>"))
     classes = signed.where("content IS NOT NULL").groupBy("content").agg(F.min("rid").alias("representative"), F.first("bands").alias("bands"))
     classes = materialize(classes)

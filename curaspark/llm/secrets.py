@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import lean, materialize
 
 
 @dataclass(frozen=True)
@@ -128,6 +128,7 @@ def scan_versions(
 
     Repeated ledger rows count once; null ledger entries are ignored; an empty table gives no findings and no entries.
     """
+    lean(versions.sparkSession)
     texts = versions.select(F.sha2(F.coalesce(F.col(f"`{content}`"), F.lit("")), 256).alias("blob"), F.encode(F.coalesce(F.col(f"`{content}`"), F.lit("")), "UTF-8").alias("content"))
     ids = F.array(*[F.lit(r.id) for r in rules])
     blobs = texts.mapInArrow(_pack, "blob string, packed binary").groupBy("blob").agg(F.first("packed").alias("packed"))
