@@ -193,7 +193,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     later = later.distinct().select(place.alias("first"), F.lit(True).alias("near"))
     # Equal lines go but for the first; all of them go if an earlier line is within one edit.
     classes = lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
-    affected = classes.join(later, "first", "left").where("copies > 1 OR near")
+    affected = materialize(classes.join(later, "first", "left").where("copies > 1 OR near").select("h1", "h2", "first", "near"))
+    # Both sides come straight from files, so that the places of a line that very many documents have can be split.
     gone = lines.select("h1", "h2", *_ORDER).join(affected, ["h1", "h2"]).where(F.col("near") | (place != F.col("first")))
     return materialize(gone.groupBy(F.col("rid").alias("__rid")).agg(F.array_sort(F.collect_list("line")).alias("lines")))
 
