@@ -13,6 +13,8 @@ def session(name: str = "curaspark", **settings: str) -> SparkSession:
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Texts can be long: a batch for Python holds few rows.
+        .config("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     )
     for k, v in settings.items():
         builder = builder.config(k.replace("__", "."), v)
