@@ -65,8 +65,17 @@ def discard(spark: SparkSession, paths: list[str]) -> None:
 _REPEATABLE = re.compile(r"^(Project|Filter|Relation|LogicalRelation|LocalRelation|SubqueryAlias|View|Union)\b")
 
 
+def pin_splits(spark: SparkSession) -> None:
+    """Let this session split files alike from now on: by default the number of cores sets the least number of splits, and that
+    number changes when executors are lost or come."""
+    key = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, spark.sparkContext.defaultParallelism)
+
+
 def repeatable(df: DataFrame) -> DataFrame:
     """df itself where each run deals its rows alike (files under projections and filters); else a written copy."""
+    pin_splits(df.sparkSession)
     lines = df._jdf.queryExecution().optimizedPlan().toString().strip().splitlines()
     nodes = [re.sub(r"^[\s:+\-|!]*", "", x) for x in lines]
     random = re.search(r"\b(rand|randn|uuid|shuffle|monotonically_increasing_id)\(", "\n".join(lines))

@@ -90,6 +90,22 @@ def test_repeatable_copies_what_a_rerun_would_deal_anew(spark, odd):
     assert common.repeatable(files.select("text")).inputFiles() == files.inputFiles()
 
 
+def test_splits_do_not_follow_the_cores(spark):
+    files = common.materialize(spark.range(200_000).select("id", F.md5(F.col("id").cast("string")).alias("text")).coalesce(1))
+    cores, cost = "spark.sql.leafNodeDefaultParallelism", "spark.sql.files.openCostInBytes"
+    spark.conf.set(cost, "4k")
+    try:
+        found = []
+        for n in (2, 31):
+            spark.conf.set(cores, n)
+            rows = common.with_rid(common.repeatable(files.select("id")))
+            found.append(sorted(map(tuple, rows.agg(F.bit_xor(F.xxhash64("id", "__rid")), F.max("__rid")).collect())))
+        assert found[0] == found[1] and found[0][0][1] > 1 << 33
+    finally:
+        spark.conf.unset(cores)
+        spark.conf.unset(cost)
+
+
 # --- 1 mixing --------------------------------------------------------------------------------
 
 
