@@ -8,13 +8,15 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WordHash, lean, materialize, mix, repeatable, utf8, with_rid, without, words
 
 #: Words of a line per edit: a line is a near-copy within one edit if that is at most a fifth of the longer line's words.
 WORDS_PER_EDIT = 5
+#: Words in the runs by which lines within more than one edit are found.
+RUN = 3
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = np.uint64(pow(_BASE, -1, 1 << 64))
 _OWN = np.uint64(0xD6E8FEB86659FD93)
@@ -54,6 +56,24 @@ def within_one(a: list[bytes], b: list[bytes]) -> bool:
     return a[i + (len(a) == len(b)) :] == b[i + 1 :]
 
 
+def within_fifth(a: list[bytes], b: list[bytes]) -> bool:
+    """Whether the edit distance of two word lists is at most a fifth of the longer."""
+    if len(a) > len(b):
+        a, b = b, a
+    most = len(b) // WORDS_PER_EDIT
+    if len(b) - len(a) > most:
+        return False
+    row = {j: j for j in range(min(most, len(b)) + 1)}
+    for i, x in enumerate(a, 1):
+        last, row = row, {}
+        for j in range(max(0, i - most), min(len(b), i + most) + 1):
+            put, out = row.get(j - 1, most) + 1, last.get(j, most) + 1
+            row[j] = min(put, out, last[j - 1] + (x != b[j - 1])) if j else i
+        if min(row.values()) > most:
+            return False
+    return row[len(b)] <= most
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -134,11 +154,30 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield out(batch, keys, owns, rows)
 
 
-def _verifier(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        a, b = (batch.column(c).to_pylist() for c in ("words", "other"))
-        ok = pa.array([within_one(x.split(), y.split()) for x, y in zip(a, b)], pa.bool_())
-        yield batch.select(_ORDER).filter(ok)
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hashed runs of each line, with where they begin and the line's number of words."""
+    for batch in _sliced(batches):
+        rows, ns, ats, runs = [], [], [], []
+        for r, line in enumerate(batch.column("words").to_pylist()):
+            w = line.split()
+            for at in range(len(w) - RUN + 1):
+                rows.append(r)
+                ns.append(len(w))
+                ats.append(at)
+                runs.append(_signed(xxhash.xxh3_64_intdigest(b" ".join(w[at : at + RUN]))))
+        take = pa.array(rows, pa.int64())
+        columns = [*(batch.column(c).take(take) for c in _ORDER), pa.array(ns, pa.int32()), pa.array(ats, pa.int32()), pa.array(runs, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=[*_ORDER, "n", "at", "run"])
+
+
+def _verifier(within):
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (batch.column(c).to_pylist() for c in ("words", "other"))
+            ok = pa.array([within(x.split(), y.split()) for x, y in zip(a, b)], pa.bool_())
+            yield batch.select(_ORDER).filter(ok)
+
+    return verify
 
 
 #: Tables of line numbers are broadcast up to so many lines; beyond that the texts are shuffled, compressed.
@@ -164,7 +203,25 @@ def _with_lines(docs: DataFrame, columns: list[str], lines: DataFrame, how: str)
     return data.mapInArrow(_packer(columns), data.schema).join(lines, "__rid", how), True
 
 
-def repeated_lines(docs: DataFrame) -> DataFrame:
+def _met_by_runs(near: DataFrame, id_type: str) -> DataFrame:
+    """Places of lines and of earlier ones that may be within a fifth: all pairs that are, where the longer has two edits or more.
+
+    An edit changes at most RUN runs of a line, so lines within k edits share one of the k * RUN + 1 rarest runs of both, in
+    places at most k apart. A line of n words is within a fifth only of lines of at most n / 0.8 words, so k is at most n / 4.
+    """
+    place = F.struct(*_ORDER)
+    runs = materialize(near.mapInArrow(_runs, f"doc_id {id_type}, rid long, line int, n int, at int, run long"))
+    counts = runs.groupBy("run").agg(F.count("*").alias("rows"))
+    ranked = runs.join(counts, "run").withColumn("rank", F.row_number().over(Window.partitionBy(*_ORDER).orderBy("rows", "run", "at")))
+    rare = ranked.where((F.col("rank") <= RUN * F.floor(F.col("n") / (WORDS_PER_EDIT - 1)) + 1) & (F.col("rows") > 1))
+    rare = materialize(rare.select(place.alias("me"), "n", "at", "run"))
+    earlier = rare.select(F.col("me").alias("other"), F.col("n").alias("m"), F.col("at").alias("there"), "run")
+    most = F.floor(F.greatest("n", "m") / WORDS_PER_EDIT)
+    close = (F.col("other") < F.col("me")) & (most > 1) & (F.abs(F.col("n") - F.col("m")) <= most) & (F.abs(F.col("at") - F.col("there")) <= most)
+    return rare.join(earlier, "run").where(close).select("me.*", "other").distinct()
+
+
+def repeated_lines(docs: DataFrame, *, growing: bool = False) -> DataFrame:
     """(__rid, lines): the numbers of the lines to be removed from each row of docs (with __rid, doc_id, text) that has any."""
     lean(docs.sparkSession)
     place = F.struct(*_ORDER)
@@ -176,6 +233,9 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     placed = lines.where(F.size("halves") > 0).select("h1", F.explode("halves").alias("half"))
     shared = placed.groupBy("half").agg(F.min("h1").alias("x"), F.max("h1").alias("y")).where("x <> y").select("half")
     wanted = placed.join(shared, "half", "left_semi").select("h1").distinct()
+    if growing:
+        # A line of fewer words is not within two edits of one that is long enough for them.
+        wanted = wanted.union(lines.where(F.col("n") >= 2 * (WORDS_PER_EDIT - 1)).select("h1")).distinct()
     wanted = lines.join(wanted, "h1", "left_semi").groupBy("h1", "h2").agg(F.min(place).alias("first")).select("first.*")
     wanted = materialize(wanted.groupBy(F.col("rid").alias("__rid"), "doc_id").agg(F.collect_list("line").alias("lines")).drop("doc_id"))
     texts, squeezed = _with_lines(docs, ["__rid", "doc_id"], wanted, "inner")
@@ -188,10 +248,13 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     other = F.when(F.col("own"), F.col("least")).otherwise(F.coalesce("whole", "least"))
     met = keys.join(groups, "key").select(*_ORDER, other.alias("other")).where(F.col("other") < place).distinct()
     others = near.select(place.alias("other"), F.col("words").alias("other_words"))
+    if growing:
+        met = met.union(_met_by_runs(near, id_type)).distinct()
     pairs = met.join(near.withColumn("me", place).select("me", "words"), place == F.col("me")).join(others, "other")
-    later = pairs.select(*_ORDER, "words", F.col("other_words").alias("other")).mapInArrow(_verifier, f"doc_id {id_type}, rid long, line int")
+    verify = _verifier(within_fifth if growing else within_one)
+    later = pairs.select(*_ORDER, "words", F.col("other_words").alias("other")).mapInArrow(verify, f"doc_id {id_type}, rid long, line int")
     later = later.distinct().select(place.alias("first"), F.lit(True).alias("near"))
-    # Equal lines go but for the first; all of them go if an earlier line is within one edit.
+    # Equal lines go but for the first; all of them go if an earlier line is near.
     classes = lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
     affected = materialize(classes.join(later, "first", "left").where("copies > 1 OR near").select("h1", "h2", "first", "near"))
     # Both sides come straight from files, so that the places of a line that very many documents have can be split.
@@ -199,17 +262,21 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     return materialize(gone.groupBy(F.col("rid").alias("__rid")).agg(F.array_sort(F.collect_list("line")).alias("lines")))
 
 
-def find(docs: DataFrame) -> DataFrame:
+def find(docs: DataFrame, *, growing: bool = False) -> DataFrame:
     """docs with n_lines (lines of the text, null: 0) and removed, the numbers (from 0) of the lines that go: those that an earlier
     line of the corpus equals or is within one edit of.
 
     Lines end with a line feed and are compared by their lower-cased words; lines without words stay and match nothing. An edit
-    puts in, takes out or replaces a word; it counts for lines of which the longer has five words or more (0.8 similar). Earlier
-    is by doc_id (null first), then row, then line. A line goes even if the earlier one goes itself. Rows that repeat are
+    puts in, takes out or replaces a word; it counts for lines of which the longer has five words or more. One edit is the
+    bound whatever the length, as in the query's SQL: near-copies of long lines with two or more changed words stay (a line of
+    50 words must be 98% equal). With `growing`, the bound is a fifth of the longer line's words, rounded down, for all lines;
+    no pair is missed, and runs of words that very many lines share make work that grows with the square of their number.
+
+    Earlier is by doc_id (null first), then row, then line. A line goes even if the earlier one goes itself. Rows that repeat are
     later copies. An empty table gives no rows; columns named like those added are replaced.
     """
     docs = with_rid(without(repeatable(docs), ["n_lines", "removed"]))
-    gone = repeated_lines(docs)
+    gone = repeated_lines(docs, growing=growing)
     n = F.when(F.col("text").isNull(), 0).otherwise(F.regexp_count("text", F.lit("\n")) + 1)
     none = F.array().cast("array<int>")
     return docs.withColumn("n_lines", n).join(gone, "__rid", "left").withColumn("removed", F.coalesce("lines", none)).drop("__rid", "lines")
@@ -234,11 +301,11 @@ def _cutter(squeezed: bool):
     return cut
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
-    """docs without the lines that find() names, and n_chars counted anew if docs has it; a document that loses lines and has no
+def deduplicate(docs: DataFrame, *, growing: bool = False) -> DataFrame:
+    """docs without the lines that find() names (growing as there), and n_chars counted anew if docs has it; a document that loses lines and has no
     words left goes."""
     docs = with_rid(without(repeatable(docs), ["lines"]))
-    gone = repeated_lines(docs)
+    gone = repeated_lines(docs, growing=growing)
     names = [c for c in docs.columns if c not in ("__rid", "text")]
     data, squeezed = _with_lines(docs, ["__rid", *names], gone, "left")
     out = data.select(*names, "text", "lines").mapInArrow(_cutter(squeezed), docs.select(*names, "text").schema)
