@@ -28,7 +28,7 @@ def _stage(f: Callable[[DataFrame, SparkSession, str], DataFrame]) -> Callable[[
 
 @_stage
 def known_language(docs: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; null texts and those without a letter go."""
+    """Documents whose language can be told; null texts, those without a letter and those of a low score go."""
     return langid.keep_known(docs)
 
 

@@ -24,6 +24,8 @@ MOST_LANGS = 256
 #: Windows computed at once.
 CHUNK = 256
 UNKNOWN = "und"
+#: Score from which keep_known() takes a prediction as told.
+LEAST_SCORE = 0.5
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -157,9 +159,13 @@ def fit(labelled: DataFrame, *, sample_rows: int = SAMPLE_ROWS, **options) -> Ne
     return train(x, np.array([langs.index(lang) for _, lang, _ in rows_]), langs, **options)
 
 
+def _has_letter(text: bytes | None) -> bool:
+    return text is not None and bool(_LETTER.search(text.decode()))
+
+
 def predict(net: Net | None, texts: list[bytes | None]) -> tuple[list[str], list[float]]:
     """Language and score (mean probability over the windows of the whole text) of each text."""
-    known = [bool(net) and t is not None and bool(_LETTER.search(t.decode())) for t in texts]
+    known = [bool(net) and _has_letter(t) for t in texts]
     if not any(known):
         return [UNKNOWN] * len(texts), [0.0] * len(texts)
     means = np.zeros((len(texts), len(net.langs)))
@@ -204,6 +210,10 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % 4 == 2, F.lit(False))
 
 
+def _fitted(docs: DataFrame, **options) -> Net | None:
+    return fit(docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "text", "lang"), **options)
+
+
 def identify(docs: DataFrame, net: Net | None = None, *, keep_text: bool = True, **options) -> DataFrame:
     """docs (without text, if keep_text is false) with held_out, lang_pred and score.
 
@@ -215,7 +225,7 @@ def identify(docs: DataFrame, net: Net | None = None, *, keep_text: bool = True,
     lean(docs.sparkSession)
     docs = without(docs, ["held_out", "lang_pred", "score"])
     if net is None:
-        net = fit(docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "text", "lang"), **options)
+        net = _fitted(docs, **options)
     names = docs.columns
     out = docs.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"))
     out = out if keep_text else out.drop("text")
@@ -223,6 +233,26 @@ def identify(docs: DataFrame, net: Net | None = None, *, keep_text: bool = True,
     return out.select(*[F.col(f"`{c}`") for c in names if keep_text or c != "text"], held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-def keep_known(docs: DataFrame, **options) -> DataFrame:
-    """docs without those whose language can't be told: null texts and texts without a letter."""
-    return identify(docs, **options).where(F.col("lang_pred") != UNKNOWN).select(*[F.col(f"`{c}`") for c in docs.columns])
+def _lettered(text: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([_has_letter(t) for t in utf8(batch.column(text))], pa.bool_()))
+
+    return run
+
+
+def keep_known(docs: DataFrame, net: Net | None = None, *, least: float = LEAST_SCORE, **options) -> DataFrame:
+    """docs without those whose language can't be told: null texts, texts without a letter, and texts of a score under `least`, to
+    which no language of the net has that share. Where no net is given and nothing could be learned (no row that trains has a
+    lang), every text with a letter stays.
+
+    A score tells texts between the languages, not all that is foreign to them: with two languages none is under 0.5, and a
+    text in a language that wasn't learned can have a high one.
+    """
+    if net is None:
+        net = _fitted(docs, **options)
+    if net is None:
+        lean(docs.sparkSession)
+        return docs.mapInArrow(_lettered(docs.columns.index("text")), docs.schema)
+    told = identify(docs, net).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+    return told.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -559,6 +559,15 @@ def test_language_odd_rows(odd, empty):
     assert langid.keep_known(odd).columns == odd.columns and langid.keep_known(odd).count() == len(ODD) - 3
 
 
+def test_keep_known_uses_the_score_and_keeps_texts_where_nothing_is_learned(spark, odd):
+    flat = langid.Net.fresh(["a", "b", "c"], np.random.default_rng(0))
+    flat.dense[:] = 0
+    assert langid.keep_known(odd, flat).count() == 0 and langid.keep_known(odd, flat, least=0.3).count() == len(ODD) - 3
+    unlabelled = odd.withColumn("lang", F.lit(None).cast("string"))
+    kept = langid.keep_known(unlabelled)
+    assert kept.columns == odd.columns and kept.count() == len(ODD) - 3
+
+
 # --- 8 licenses ------------------------------------------------------------------------------
 
 
