@@ -19,7 +19,7 @@ SAMPLE = 20_000
 #: Vectors of a cell on average, and cells at most (the centres are sent to every task).
 CELL_ROWS, MOST_CELLS = 2_000, 4_096
 #: A vector also visits the cells whose centres it is nearly as close to as to its own, by this much in cosine.
-MARGIN = 0.15
+MARGIN = 0.2
 #: Vectors in a block, on average.
 BLOCK = 2_048
 

@@ -305,6 +305,18 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch, block, cell):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in out)
 
 
+def test_recall_of_pairs_just_above_the_threshold_alone(spark):
+    rng = np.random.default_rng(3)
+    a, o = embeddings.unit(rng.standard_normal((1500, 16))), rng.standard_normal((1500, 16))
+    o = embeddings.unit(o - (o * a).sum(axis=1, keepdims=True) * a)
+    c = rng.uniform(0.9, 0.92, (1500, 1))
+    x = np.concatenate((a, c * a + np.sqrt(1 - c * c) * o))
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")
+    found = embeddings.near_duplicates(df, cell_rows=50).agg(F.sum("n_links")).first()[0]
+    y = embeddings.unit(x)
+    assert found >= 0.995 * ((y @ y.T >= 0.9).sum() - len(y))
+
+
 def test_embeddings_odd_tables(spark):
     kind = "vec_id long, embedding array<float>"
     assert embeddings.near_duplicates(spark.createDataFrame([], kind)).count() == 0
