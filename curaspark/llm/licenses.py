@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 from .common import WORD, ascii_lower, materialize, repeatable, with_rid, without
 
 
+#: A block begins every STRIDE words and has twice as many, so that any STRIDE + 1 words in a row lie in one; longer templates
+#: have larger blocks of their own.
+STRIDE = 32
+
+
 @dataclass(frozen=True)
 class Template:
     """Words to look for in a block. threshold: the share of its distinct words that the block must hold. phrase: only places
@@ -30,6 +35,14 @@ class Template:
     def tokens(self) -> list[str]:
         return sorted(set(self.words))
 
+    @property
+    def stride(self) -> int:
+        """Words from one block to the next, of twice as many: STRIDE, doubled until the template lies in one wherever it begins."""
+        n = STRIDE
+        while len(self.words) > n + 1:
+            n *= 2
+        return n
+
     @property
     def need(self) -> int:
         return max(1, math.ceil(self.threshold * len(self.tokens) - 1e-9))
@@ -51,8 +64,6 @@ NOTICES = (
     Template("mit-grant", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
     Template("all-rights-reserved", "all rights reserved"),
 )
-#: A block begins every STRIDE words and has twice as many, so that any STRIDE + 1 words in a row lie in one.
-STRIDE = 32
 
 
 def _literal(values: list) -> Column:
@@ -62,7 +73,7 @@ def _literal(values: list) -> Column:
 def scan(docs: DataFrame, templates: tuple[Template, ...] = PHRASES + NOTICES) -> DataFrame:
     """Every column of docs, and n_words, n_base, first_word, last_word, base_labels, labels, score (as of the templates).
 
-    Text blocks (64 words, one every 32) are joined with the templates: tokens are ordered by the number of documents that
+    Text blocks (64 words, one every 32; for templates of more than 33 words, blocks of 128 every 64, and so on) are joined with the templates: tokens are ordered by the number of documents that
     hold them, the rarest first; a template is indexed by the prefix that any block with enough of its tokens must meet; a
     block of too few template tokens (length filter) or a match too near the end of either side (positional filter) is no
     candidate; the overlap of the others is counted exactly. Tokens outside all templates match nothing, so blocks are
@@ -71,12 +82,9 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = PHRASES + NOTICES) -
 
     labels: base_labels (of phrases) and those of the other templates found, distinct, sorted, comma-joined; score: the
     largest share of a template's tokens in a block that reaches its threshold, 0 without one.
-    A null text is empty: 0 words, no places, empty labels. Templates are a parameter of at most a few hundred tokens, and
-    phrases have at most 33 words; only their index is broadcast. Rows that repeat are scanned each by itself. Columns named
+    A null text is empty: 0 words, no places, empty labels. Templates are a parameter of at most a few hundred tokens; only their index is broadcast. Rows that repeat are scanned each by itself. Columns named
     like those added are replaced. Empty input: no rows.
     """
-    if any(t.phrase and len(t.words) > STRIDE + 1 for t in templates):
-        raise ValueError(f"a phrase of more than {STRIDE + 1} words does not fit a block")
     added = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
     docs = with_rid(without(repeatable(docs), added))
     vocabulary = sorted({w for t in templates for w in t.tokens})
@@ -92,25 +100,29 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = PHRASES + NOTICES) -
     order = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (counts.get(w, 0), w)))}
 
     ranks = F.create_map(*[F.lit(x) for w, i in order.items() for x in (w, i)])
-    starts = F.sequence(F.lit(0), F.size("words") - 1, F.lit(STRIDE))
+    strides = sorted({t.stride for t in templates})
+
+    def starts(n: int) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size("words") - 1, F.lit(n)), lambda at: F.struct(at.alias("start"), F.lit(n).alias("stride")))
+
     blocks = (
         passed.where(F.size("words") > 0)
-        .select("__rid", "words", F.explode(starts).alias("start"))
-        .select("__rid", "start", F.expr(f"slice(words, start + 1, {2 * STRIDE})").alias("block"))
+        .select("__rid", "words", F.explode(F.concat(*map(starts, strides))).alias("at"))
+        .select("__rid", "at.start", "at.stride", F.expr("slice(words, at.start + 1, 2 * at.stride)").alias("block"))
         .withColumn("tokens", F.array_sort(F.transform(F.array_intersect("block", _literal(vocabulary)), lambda w: ranks[w])))
     )
     index, sets = [], []
     for k, t in enumerate(templates):
         own = sorted(order[w] for w in t.tokens)
         sets.append((k, own))
-        index += [(r, k, at, len(own), t.need) for at, r in enumerate(own[: len(own) - t.need + 1])]
+        index += [(r, t.stride, k, at, len(own), t.need) for at, r in enumerate(own[: len(own) - t.need + 1])]
     spark = docs.sparkSession
-    index = F.broadcast(spark.createDataFrame(index, "token int, template int, at int, n int, need int"))
+    index = F.broadcast(spark.createDataFrame(index, "token int, stride int, template int, at int, n int, need int"))
     least = min(t.need for t in templates)
     candidates = (
         blocks.where(F.size("tokens") >= least)
         .select("*", F.posexplode(F.expr(f"slice(tokens, 1, size(tokens) - {least - 1})")).alias("pos", "token"))
-        .join(index, "token")
+        .join(index, ["token", "stride"])
         .where(F.size("tokens") >= F.col("need"))
         .where(1 + F.least(F.col("n") - 1 - F.col("at"), F.size("tokens") - 1 - F.col("pos")) >= F.col("need"))
         .groupBy("__rid", "start", "template")
@@ -120,9 +132,9 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = PHRASES + NOTICES) -
     overlap = F.size(F.array_intersect("tokens", of[F.col("template")]))
     met = candidates.withColumn("overlap", overlap).where(F.col("overlap") >= F.col("need"))
 
-    def places(phrase: list[str]) -> Column:
+    def places(phrase: list[str], stride: int) -> Column:
         """Where in the first half of the block the words stand together."""
-        last = F.least(F.lit(STRIDE), F.size("block") - len(phrase) + 1)
+        last = F.least(F.lit(stride), F.size("block") - len(phrase) + 1)
         at = F.when(last > 0, F.sequence(F.lit(0), last - 1)).otherwise(F.array().cast("array<int>"))
 
         def here(i: Column) -> Column:
@@ -136,7 +148,7 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = PHRASES + NOTICES) -
     stand = F.lit(None).cast("array<int>")
     for k, t in enumerate(templates):
         if t.phrase:
-            stand = F.when(F.col("template") == k, places(t.words)).otherwise(stand)
+            stand = F.when(F.col("template") == k, places(t.words, t.stride)).otherwise(stand)
     labels = F.element_at(_literal([t.label for t in templates]), F.col("template") + 1)
     met = met.select(
         "__rid",

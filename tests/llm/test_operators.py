@@ -612,6 +612,16 @@ def test_license_scan_against_brute_force(spark, sf):
         assert tuple(r[n] for n in names) == pytest.approx(brute_licenses(r["text"])), r["text"]
 
 
+def test_long_templates_are_found_wherever_they_begin(spark):
+    text = [f"t{i}" for i in range(90)]
+    own = (licenses.Template("whole", " ".join(text)), licenses.Template("phrase", " ".join(text[:40]), 1.0, True), licenses.NOTICES[-1])
+    rows = [(i, " ".join(["x"] * i + text)) for i in (0, 20, 33, 63, 64, 100)] + [(500, " ".join(text[:60])), (501, "all " + "x " * 70 + "rights reserved")]
+    out = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), own).collect()}
+    for i, _ in rows[:-2]:
+        assert (out[i]["labels"], out[i]["score"], out[i]["n_base"], out[i]["first_word"]) == ("phrase,whole", 1.0, 1, i)
+    assert out[500]["labels"] == "phrase" and out[501]["labels"] == ""
+
+
 def test_licenses_odd_rows(odd, empty):
     assert licenses.scan(empty).count() == 0 and licenses.scan(odd).count() == len(ODD)
 
