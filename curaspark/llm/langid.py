@@ -19,8 +19,6 @@ WINDOW = 128
 WIDTHS, FILTERS, DIM = (2, 3, 4), 16, 4
 #: Labelled rows used for training, at most, for each language (those of the smallest hashes), and windows of each.
 SAMPLE_ROWS, SAMPLE_WINDOWS = 1_000, 6
-#: Languages learned, at most (the most frequent).
-MOST_LANGS = 256
 #: Windows computed at once.
 CHUNK = 256
 UNKNOWN = "und"
@@ -141,11 +139,13 @@ def _sampler(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.string(), pa.string(), pa.binary()))], names=["id", "lang", "window"])
 
 
-def fit(labelled: DataFrame, *, sample_rows: int = SAMPLE_ROWS, **options) -> Net | None:
+def fit(labelled: DataFrame, *, sample_rows: int = SAMPLE_ROWS, most_langs: int | None = None, **options) -> Net | None:
     """A net from labelled rows (doc_id, text, lang), of which at most about `sample_rows` for each language are used, chosen by the
-    hash of doc_id; None if no row has both lang and text."""
+    hash of doc_id; None if no row has both lang and text. Every lang is learned, or the `most_langs` most frequent if that is
+    given; rows of the others are then neither trained on nor predicted."""
     rows = labelled.where("lang IS NOT NULL AND length(text) > 0")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGS).collect()
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang")
+    counts = (counts if most_langs is None else counts.limit(most_langs)).collect()
     if not counts:
         return None
     langs = sorted(r["lang"] for r in counts)

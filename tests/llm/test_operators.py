@@ -580,6 +580,13 @@ def test_keep_known_uses_the_score_and_keeps_texts_where_nothing_is_learned(spar
     assert kept.columns == odd.columns and kept.count() == len(ODD) - 3
 
 
+def test_every_language_is_learned(spark):
+    rows = [(i, f"some text of language {i}", f"l{i:03}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert langid.fit(docs, steps=1).langs == [r[2] for r in rows]
+    assert langid.fit(docs, steps=1, most_langs=5).langs == [f"l{i:03}" for i in range(5)]
+
+
 # --- 8 licenses ------------------------------------------------------------------------------
 
 
