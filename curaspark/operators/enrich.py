@@ -113,6 +113,24 @@ def resumed(keys: DataFrame, key: str, store: DataFrame | None, fetch: Fetcher,
     return fetched(todo, key, fetch, fields, policy, tasks=tasks)
 
 
+def stored(keys: DataFrame, key: str, path: str, fetch: Fetcher, fields: Sequence[str], policy: Policy, *, every: int = 50, tasks: int = 1) -> DataFrame:
+    """The Parquet store at path, with results for all keys: those that it lacks are looked up about `every` at a time (dealt by
+    hash), and each lot is appended before the next one is asked for. A run that fails keeps the lots behind it, and the next
+    one goes on from there; the caller deletes the store when it isn't needed any more."""
+    spark = keys.sparkSession
+    schema = ", ".join([f"`{key}` string", *[f"`{f}` string" for f in fields], "status string"])
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+    todo = keys.select(quoted(key).cast("string").alias(key)).where(quoted(key).isNotNull()).distinct()
+    if there:
+        todo = todo.join(spark.read.schema(schema).parquet(path).select(quoted(key)), key, "left_anti")
+    lots = max(1, -(-todo.count() // every))
+    for i in range(lots):
+        lot = todo.where(F.pmod(F.xxhash64(quoted(key)), F.lit(lots)) == i)
+        fetched(lot, key, fetch, fields, policy, tasks=tasks).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def lookup(df: DataFrame, key: str, dim: DataFrame, fields: Sequence[str], *, status: str, found: str, missing: str, no_key: str, limit: int = FEW_ROWS) -> DataFrame:
     """df with the fields of a snapshot table, and a status: found, missing, or no_key for a null key. A later lookup on a field
     that this one brings (chained) sees null keys where nothing was found."""

@@ -535,3 +535,30 @@ def test_entry_works_without_the_corpus_operators():
         "assert set(e.oracle_sql()) <= set(e.queries())\n"
     )
     subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
+
+
+def test_a_failed_lookup_keeps_its_finished_lots(spark, tmp_path):
+    from curaspark.operators import enrich
+
+    log, path = tmp_path / "asked", f"{tmp_path}/store"
+    keys = spark.createDataFrame([(f"k{i}",) for i in range(30)] + [("k1",), (None,)], "id string")
+
+    def fetcher(most):
+        def fetch(part):
+            asked = len(log.read_text().split()) if log.exists() else 0
+            if asked >= most:
+                raise ValueError("down")
+            with log.open("a") as f:
+                f.write("".join(f"{k}\n" for k in part))
+            return {k: {"name": k.upper()} for k in part}
+
+        return fetch
+
+    policy = enrich.Policy(batch=1)
+    with pytest.raises(Exception, match="down"):
+        enrich.stored(keys, "id", path, fetcher(20), ["name"], policy, every=5)
+    done = spark.read.parquet(path).count()
+    assert 0 < done <= 20
+    out = enrich.stored(keys, "id", path, fetcher(10**6), ["name"], policy, every=5).collect()
+    assert sorted((r["id"], r["name"], r["status"]) for r in out) == sorted((f"k{i}", f"K{i}", "found") for i in range(30))
+    assert len(log.read_text().split()) == 20 + 30 - done
