@@ -12,15 +12,23 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Used only where the session names no spark.checkpoint.dir, as in tests on one machine.
+#: Used only where a local master's session names no spark.checkpoint.dir, as in tests on one machine.
 DEFAULT_SCRATCH = "file:/tmp/checkpoints/curaspark"
 
 _written: list[str] = []
 
 
+def on_one_machine(spark: SparkSession) -> bool:
+    """Whether driver and tasks are one process (local, local[n]), whose number of cores doesn't change."""
+    return re.match(r"local(\[|$)", spark.sparkContext.master) is not None
+
+
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or DEFAULT_SCRATCH
+    """A new folder under the one that driver and executors share; an error where a cluster's session names none."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not on_one_machine(spark):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    base = base or DEFAULT_SCRATCH
     return f"{base.rstrip('/')}/curaspark-{uuid.uuid4().hex}"
 
 
@@ -40,11 +48,17 @@ def materialize(df: DataFrame) -> DataFrame:
 BATCH_ROWS = 512
 
 
-def lean(spark: SparkSession) -> None:
-    """Let this session send rows to Python in small batches from now on."""
+def prepare(spark: SparkSession) -> SparkSession:
+    """Settings for an application of these operators, to be called by the application (as the queries and the pipeline do);
+    operators themselves change no session. Rows go to Python in batches of BATCH_ROWS, and files are split alike however many
+    cores there happen to be: by default their number sets the least number of splits, and it changes when executors are lost or
+    come. Results are the same without it; memory, and copies that repeatable() then makes, are not."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, BATCH_ROWS)
+    if spark.conf.get(SPLITS, None) is None:
+        spark.conf.set(SPLITS, spark.sparkContext.defaultParallelism)
+    return spark
 
 
 def written() -> list[str]:
@@ -62,24 +76,22 @@ def discard(spark: SparkSession, paths: list[str]) -> None:
         _written.remove(p)
 
 
-_REPEATABLE = re.compile(r"^(Project|Filter|Relation|LogicalRelation|LocalRelation|SubqueryAlias|View|Union)\b")
-
-
-def pin_splits(spark: SparkSession) -> None:
-    """Let this session split files alike from now on: by default the number of cores sets the least number of splits, and that
-    number changes when executors are lost or come."""
-    key = "spark.sql.files.minPartitionNum"
-    if spark.conf.get(key, None) is None:
-        spark.conf.set(key, spark.sparkContext.defaultParallelism)
+SPLITS = "spark.sql.files.minPartitionNum"
+#: Plan nodes that deal rows alike in each run: files of Spark's own readers, and row-wise steps above them.
+_ALIKE = re.compile(r"^(Project|Filter|SubqueryAlias|View|Union|(Logical)?Relation( \S+)? ?\[.*\] (parquet|orc|json|csv|text|avro)$)")
+_LOCAL = re.compile(r"^LocalRelation")
 
 
 def repeatable(df: DataFrame) -> DataFrame:
-    """df itself where each run deals its rows alike (files under projections and filters); else a written copy."""
-    pin_splits(df.sparkSession)
+    """df itself where each run deals its rows alike, so that row ids of several passes agree: files under projections and filters,
+    with pinned splits (see prepare()) or on one machine. Else a written copy: whatever is not known to be alike is copied."""
+    spark = df.sparkSession
+    fixed = on_one_machine(spark)
     lines = df._jdf.queryExecution().optimizedPlan().toString().strip().splitlines()
-    nodes = [re.sub(r"^[\s:+\-|!]*", "", x) for x in lines]
+    nodes = [x for x in (re.sub(r"^[\s:+\-|!]*", "", x) for x in lines) if x]
     random = re.search(r"\b(rand|randn|uuid|shuffle|monotonically_increasing_id)\(", "\n".join(lines))
-    if all(_REPEATABLE.match(x) for x in nodes if x) and not random:
+    alike = all(_ALIKE.match(x) or (fixed and _LOCAL.match(x)) for x in nodes)
+    if alike and not random and (fixed or spark.conf.get(SPLITS, None) is not None):
         return df
     return materialize(df)
 
@@ -89,6 +101,16 @@ def with_rid(df: DataFrame, name: str = "__rid") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df (files under projections) dealt anew over the cores, if it has few splits of which one or a few hold the rows, as files of one
+    row group have; a table of more splits than four for each core is left alone, so what is shuffled is small."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if cores < 2 or df._jdf.queryExecution().toRdd().getNumPartitions() > 4 * cores:
+        return df
+    rows = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]  # at most four for each core
+    return df.repartition(cores) if rows and max(rows) * cores > 3 * sum(rows) else df
+
+
 def few(df: DataFrame, limit: int) -> DataFrame:
     """df with a broadcast hint if it has at most `limit` rows by count, else as it is, for a shuffled join."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

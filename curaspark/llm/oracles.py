@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from .license_texts import TEXTS
+
 SQL: dict[str, str] = {}
 
 SQL["op1_mix_sources"] = r"""
@@ -11,7 +13,7 @@ WITH d AS (
          CASE WHEN length(text) > 0
               THEN 0.25::DOUBLE + (0.75::DOUBLE * length(translate(text, '#%*$&!@^~|{}[]<>\=_+', ''))) / length(text)
               ELSE 1.0::DOUBLE END AS w,
-         (('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656::DOUBLE AS u
+         (('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, md5(text), '')), 1, 12))::BIGINT::DOUBLE + 0.5) / 281474976710656::DOUBLE AS u
   FROM documents),
 k AS (SELECT *, -ln(u) / greatest(w, 1e-9) AS key FROM d),
 s0 AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
@@ -42,8 +44,11 @@ FROM r
 """
 
 SQL["op5_chat_perspectives"] = r"""
-WITH t AS (
-  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, text, floor(turn / 256)::BIGINT AS part FROM conversations),
+WITH t0 AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, text FROM conversations),
+t AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text NULLS FIRST) - 1 AS place,
+         place // 256 AS part
+  FROM t0),
 p AS (SELECT DISTINCT conv_id AS c, role AS perspective FROM t WHERE role <> 'system'),
 m AS (
   SELECT t.*, p.perspective, t.role = p.perspective AS own,
@@ -52,14 +57,14 @@ m AS (
          replace(coalesce(t.text, ''), '<|', '< |') || '<|im_end|>' || chr(10) AS body
   FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.c),
 o AS (
-  SELECT *, row_number() OVER w AS k,
-         sum(length(head) + length(body)) OVER (w ROWS UNBOUNDED PRECEDING) - length(body) AS b,
+  SELECT *, sum(length(head) + length(body)) OVER (w ROWS UNBOUNDED PRECEDING) - length(body) AS b,
          sum(length(head) + length(body)) OVER (w ROWS UNBOUNDED PRECEDING) AS e
-  FROM m WINDOW w AS (PARTITION BY conv_id, perspective, part ORDER BY turn NULLS FIRST, role, text NULLS FIRST))
-SELECT conv_id, perspective, part, count(*)::BIGINT AS n_messages, count(*) FILTER (WHERE own)::BIGINT AS n_spans,
-       string_agg(head || body, '' ORDER BY k) AS text,
-       coalesce(string_agg((b::BIGINT)::VARCHAR || ':' || (e::BIGINT)::VARCHAR, ',' ORDER BY k) FILTER (WHERE own), '') AS mask
-FROM o GROUP BY conv_id, perspective, part
+  FROM m WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY place)),
+q AS (SELECT *, min(b - length(head)) OVER (PARTITION BY conv_id, perspective, part) AS s FROM o)
+SELECT conv_id, perspective, part::BIGINT AS part, any_value(s)::BIGINT AS start, count(*)::BIGINT AS n_messages,
+       count(*) FILTER (WHERE own)::BIGINT AS n_spans, string_agg(head || body, '' ORDER BY place) AS text,
+       coalesce(string_agg((b - s)::BIGINT::VARCHAR || ':' || (e - s)::BIGINT::VARCHAR, ',' ORDER BY place) FILTER (WHERE own), '') AS mask
+FROM q GROUP BY conv_id, perspective, part
 """
 
 SQL["op9_warc_revisits"] = r"""
@@ -83,23 +88,28 @@ _NOTICES = (
 _PHRASES = (("gpl", "gnu general public license"), ("apache", "apache license"), ("cc-by", "cc by"), ("mit", "mit license"))
 
 
+
+
 def _values(rows) -> str:
-    return ", ".join(f"('{a}', list_distinct(string_split('{b}', ' ')), string_split('{b}', ' '))" for a, b in rows)
+    return ", ".join(f"('{a}', '{b}')" for a, b in rows)
 
 
+_WORDS = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
 SQL["op8_license_scan"] = rf"""
-WITH n AS (SELECT * FROM (VALUES {_values(_NOTICES)}) AS v(label, tokens, ws)),
-p AS (SELECT * FROM (VALUES {_values(_PHRASES)}) AS v(label, tokens, ws)),
-d AS (
-  SELECT row_number() OVER () AS r, doc_id,
-         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
-  FROM documents),
-b AS (SELECT r, ws[s + 1 : s + 64] AS block FROM (SELECT r, ws, unnest(range(0, len(ws), 32)) AS s FROM d)),
+WITH n0 AS (SELECT label, {_WORDS.format("x")} AS ws FROM (VALUES {_values(_NOTICES + TEXTS)}) AS v(label, x)),
+n AS (
+  SELECT label, ws, list_distinct(ws) AS tokens, (SELECT min(s) FROM (VALUES (32), (64), (128), (256), (512)) AS v(s) WHERE len(ws) <= s + 1) AS stride
+  FROM n0),
+p AS (SELECT label, {_WORDS.format("x")} AS ws FROM (VALUES {_values(_PHRASES)}) AS v(label, x)),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format("coalesce(text, '')")} AS ws FROM documents),
+b AS (
+  SELECT r, stride, ws[s + 1 : s + 2 * stride] AS block
+  FROM (SELECT r, ws, stride, unnest(range(0, len(ws), stride)) AS s FROM d, (SELECT DISTINCT stride FROM n))),
 m AS (
   SELECT b.r, n.label, len(list_intersect(list_distinct(b.block), n.tokens)) / len(n.tokens)::DOUBLE AS share,
          len(list_intersect(list_distinct(b.block), n.tokens)) >= ceil(0.8 * len(n.tokens) - 1e-9) AS ok
-  FROM b, n),
+  FROM b JOIN n ON b.stride = n.stride),
 w AS (SELECT r, ws, unnest(range(0, len(ws))) AS i FROM d),
 f AS (
   SELECT w.r, p.label, w.i FROM w JOIN p ON w.ws[w.i + 1] = p.ws[1]
@@ -180,3 +190,48 @@ g AS (SELECT doc_id, count(*)::BIGINT AS n, string_agg(line::VARCHAR, ',' ORDER
 SELECT d.doc_id, coalesce(len(d.ls), 0)::BIGINT AS n_lines, coalesce(g.n, 0)::BIGINT AS n_removed, coalesce(g.removed, '') AS removed_lines
 FROM d LEFT JOIN g ON d.doc_id = g.doc_id
 """
+
+#: The kinds in order, as the SQL below states them by itself: pattern, least characters, group that they are counted in.
+_KINDS = (
+    (
+        "assign",
+        r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])"""
+        r"""["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""",
+        6,
+        1,
+    ),
+    ("access", "AKIA[A-Z0-9]+", 20, 0),
+    ("hex", "[0-9a-f]+", 24, 0),
+    ("github", "gh[pousr]_[A-Za-z0-9]{36,}", 1, 0),
+    ("slack", "xox[abprs]-[A-Za-z0-9-]{10,}", 1, 0),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 1, 0),
+    ("pem", "-----BEGIN (?:[A-Z]+ )?PRIVATE KEY-----", 1, 0),
+)
+
+
+def _spans(n: int, kind: str, pattern: str, least: int, group: int) -> str:
+    """Matches of a kind: what stands between them (the text split by the pattern) tells where they are."""
+    whole = pattern.replace("([A-Z", "(?:[A-Z")
+    return f"""
+  SELECT r, {n} AS n, '{kind}' AS kind, start, stop FROM (
+    SELECT r, list_sum([length(x) for x in parts[1:i]]) + coalesce(list_sum([length(x) for x in found[1:i - 1]]), 0) AS start,
+           start + length(found[i]) AS stop, length(counted[i]) AS size
+    FROM (SELECT r, found, counted, parts, unnest(range(1, len(found) + 1)) AS i FROM (
+      SELECT r, regexp_extract_all(text, '{whole}') AS found, regexp_extract_all(text, '{pattern}', {group}) AS counted,
+             regexp_split_to_array(text, '{whole}') AS parts FROM d)))
+  WHERE size >= {least}"""
+
+
+SQL["op4_secret_scan"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+f AS ({" UNION ALL ".join(_spans(n, *k) for n, k in enumerate(_KINDS))}),
+g AS (
+  SELECT r, count(*) FILTER (WHERE kind = 'assign')::BIGINT AS n_assign, count(*) FILTER (WHERE kind = 'access')::BIGINT AS n_access,
+         count(*) FILTER (WHERE kind = 'hex')::BIGINT AS n_hex,
+         string_agg(kind || ':' || start::BIGINT || ':' || stop::BIGINT, ',' ORDER BY start, n) FILTER (WHERE n < 3) AS base,
+         string_agg(kind || ':' || start::BIGINT || ':' || stop::BIGINT, ',' ORDER BY start, n) AS spans
+  FROM f GROUP BY r)
+SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g ON d.r = g.r
+"""

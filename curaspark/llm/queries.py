@@ -7,23 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, embeddings, langid, licenses, lines, minhash, mixing, secrets, warc
+from . import chat, common, decontaminate, embeddings, langid, licenses, lines, minhash, mixing, secrets, warc
 from .oracles import SQL
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return common.prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = mixing.mixture(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    m = mixing.mixture(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"), keep_text=False)
     return m.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find(docs, _table(spark, sf_dir, "benchmark"), keep_text=False)
-    hit = F.aggregate(decontaminate.merged_spans(F.col("hits")), F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
     items = F.array_sort(F.array_distinct(F.col("hits.item")))
     return found.select(
         "doc_id",
@@ -42,7 +42,8 @@ def op3_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    findings, _ = secrets.scan_versions(docs)
+    # A store of its own for each run, so its ledger is empty at first; a job that runs again and again would keep its store.
+    findings = secrets.scan_into(docs, common.scratch_dir(spark))
     rows = secrets.by_path(docs, findings, keep=["doc_id"])
     base = [r.kind for r in secrets.RULES if r.base]
 

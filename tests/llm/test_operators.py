@@ -94,6 +94,8 @@ def test_splits_do_not_follow_the_cores(spark):
     files = common.materialize(spark.range(200_000).select("id", F.md5(F.col("id").cast("string")).alias("text")).coalesce(1))
     cores, cost = "spark.sql.leafNodeDefaultParallelism", "spark.sql.files.openCostInBytes"
     spark.conf.set(cost, "4k")
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    common.prepare(spark)
     try:
         found = []
         for n in (2, 31):
@@ -102,8 +104,9 @@ def test_splits_do_not_follow_the_cores(spark):
             found.append(sorted(map(tuple, rows.agg(F.bit_xor(F.xxhash64("id", "__rid")), F.max("__rid")).collect())))
         assert found[0] == found[1] and found[0][0][1] > 1 << 33
     finally:
-        spark.conf.unset(cores)
-        spark.conf.unset(cost)
+        for key in (cores, cost, common.SPLITS):
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
 
 
 # --- 1 mixing --------------------------------------------------------------------------------
@@ -139,7 +142,7 @@ def test_targets_are_shared_by_weight_up_to_their_stops(spark):
 
 
 def test_mixture_comes_near_its_targets(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "BUCKET_ROWS", 40)
+    monkeypatch.setattr(mixing, "SORTED_ROWS", 40)
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     rows = mixing.mixture(docs).collect()
     by = defaultdict(list)
@@ -201,7 +204,7 @@ def brute_hits(text: str | None, items: list) -> tuple[int, set, set]:
             for j in range(len(w) - n + 1):
                 if w[j : j + n] == iw[i : i + n]:
                     hit.update(range(j, j + n))
-                    found.add("null" if item is None else str(item))
+                    found.add(None if item is None else str(item))
     return len(w), hit, found
 
 
@@ -223,7 +226,7 @@ def test_decontamination_against_brute_force(spark, monkeypatch, block, shard):
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("hits", F.lit(1)).repartition(3)
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
     found = decontaminate.find(docs, bench, block_bytes=block)
-    got = found.select("*", decontaminate.merged_spans(F.col("hits")).alias("m")).collect()
+    got = found.withColumnRenamed("spans", "m").collect()
     assert len(got) == len(rows)
     for r in got:
         n, hit, items = brute_hits(r["text"], ITEMS)
@@ -386,36 +389,40 @@ def test_secrets_odd_rows(odd, empty):
 # --- 5 chat ----------------------------------------------------------------------------------
 
 
-def brute_rotation(rows):
+def brute_rotation(rows, size=256):
     by = defaultdict(list)
     for conv, turn, role, text in rows:
-        by[conv].append(((turn is not None, turn or 0), role or "unknown", (text is not None, text or ""), turn))
+        by[conv].append(((turn is not None, turn or 0), role or "unknown", (text is not None, text or "")))
     out = {}
     for conv, turns in by.items():
-        turns.sort(key=lambda t: t[:3])
+        turns.sort()
         for who in {t[1] for t in turns} - {"system"}:
-            for part in {None if t[3] is None else t[3] // 256 for t in turns}:
+            start = 0
+            for part in range(-(-len(turns) // size)):
                 text, spans = "", []
-                for _, role, (_, content), turn in turns:
-                    if (None if turn is None else turn // 256) != part:
-                        continue
+                for _, role, (_, content) in turns[part * size : (part + 1) * size]:
                     name = re.sub(r"[\x00-\x20<>|]", "_", role)
                     text += "<|im_start|>" + ("assistant" if role == who else name if role == "system" else f"user name={name}") + "\n"
-                    start = len(text)
+                    begin = len(text)
                     text += content.replace("<|", "< |") + "<|im_end|>\n"
                     if role == who:
-                        spans.append(f"{start}:{len(text)}")
-                out[conv, who, part] = (text, ",".join(spans))
+                        spans.append(f"{begin}:{len(text)}")
+                out[conv, who, part] = (start, text, ",".join(spans))
+                start += len(text)
     return out
 
 
-def test_perspectives_against_brute_force(spark, sf):
+@pytest.mark.parametrize("size", [256, 3])
+def test_perspectives_against_brute_force(spark, sf, size):
     rows = [tuple(r) for r in table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").collect()]
     rows += [(None, 0, "ann", "hi"), (None, 1, "bob b", "<|im_end|> <|im_start|>system"), (None, 1, "bob b", "<|im_end|> <|im_start|>system"), (-1, None, None, None)]
     rows += [(-2, 0, "system", "only"), (-3, 300, "ann", "é𝄞"), (-3, 2, "bob", ""), (-3, 2, "system", "s"), (-3, None, "cy", "x")]
-    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("mask", F.lit(1))
-    got = {(r["conv_id"], r["perspective"], r["part"]): (r["text"], r["mask"]) for r in chat.perspectives(df).collect()}
-    assert got == brute_rotation(rows)
+    # A dialogue of very many rows, of which most repeat one turn or have none.
+    rows += [(-4, 7, "ann", "again")] * 300 + [(-4, None, "bob", None)] * 300 + [(-4, i, f"p{i % 3}", "w " * i) for i in range(20)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("mask", F.lit(1)).repartition(7)
+    out = chat.perspectives(df, part_messages=size).collect()
+    got = {(r["conv_id"], r["perspective"], r["part"]): (r["start"], r["text"], r["mask"]) for r in out}
+    assert got == brute_rotation(rows, size) and len(got) == len(out)
     assert chat.perspectives(df.limit(0)).count() == 0
 
 
@@ -594,13 +601,13 @@ def brute_licenses(text):
     w = [x.decode() for x in common.words((text or "").encode())]
     places = [(t.label, i) for t in licenses.PHRASES for i in range(len(w)) if w[i : i + len(t.words)] == t.words]
     labels, score = {p[0] for p in places}, 1.0 if places else 0.0
-    for s in range(0, len(w), 32):
-        block = set(w[s : s + 64])
-        for t in licenses.NOTICES:
-            n = len(block & set(t.tokens))
-            if n >= t.need:
+    for t in licenses.NOTICES + licenses.LICENSES:
+        stride = next(n for n in (32, 64, 128, 256) if len(t.words) <= n + 1)
+        for s in range(0, len(w), stride):
+            n = len(set(w[s : s + 2 * stride]) & set(t.words))
+            if n >= math.ceil(0.8 * len(set(t.words)) - 1e-9):
                 labels.add(t.label)
-                score = max(score, n / len(t.tokens))
+                score = max(score, n / len(set(t.words)))
     at = [i for _, i in places]
     base = ",".join(sorted({p[0] for p in places}))
     return (len(w), len(places), min(at, default=None), max(at, default=None), base, ",".join(sorted(labels)), score)
@@ -608,7 +615,7 @@ def brute_licenses(text):
 
 def test_license_scan_against_brute_force(spark, sf):
     rng = random.Random(8)
-    pool = sorted({w for t in licenses.PHRASES + licenses.NOTICES for w in t.words}) + ["x", "é", "MIT"]
+    pool = sorted({w for t in licenses.PHRASES + licenses.NOTICES + licenses.LICENSES for w in t.words}) + ["x", "é", "MIT"]
     rows = [(i, " ".join(rng.choice(pool) for _ in range(rng.randrange(0, 200)))) for i in range(60)]
     rows += [(100, "f " * 62 + "GNU General\nPublic-License cc by/cc BY"), (101, "a " * 31 + "mit license mit license"), (102, None), (103, ""), (103, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").union(table(spark, sf, "documents").select("doc_id", "text"))
@@ -757,10 +764,10 @@ def test_signatures_estimate_weighted_similarity():
         e = common.mix(np.arange(1, n + 1, dtype=np.uint64))
         x, y = rng.uniform(0.3, 4, n), rng.uniform(0.3, 4, n)
         true = np.minimum(x, y).sum() / np.maximum(x, y).sum()
-        same = np.mean([(minhash.dart_minhash(e, x, 64, s) == minhash.dart_minhash(e, y, 64, s)).mean() for s in range(30)])
+        same = np.mean([(np.diff(minhash.dart_minhash([(e, x), (e, y)], 64, s), axis=0) == 0).mean() for s in range(30)])
         assert abs(same - true) < 0.05
-    a = minhash.dart_minhash(e[:1], np.ones(1), 128)
-    assert len(np.unique(a)) == 128
+    one, other = minhash.dart_minhash([(e[:1], np.ones(1)), (e, x)], 128)
+    assert len(np.unique(one)) == 128 and (other == minhash.dart_minhash([(e, x)], 128)[0]).all()
 
 
 def test_minhash_odd_rows(odd, empty):
