@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
+import functools
+import itertools
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, WORD_TABLE, lean, words
+from .common import WORD, WORD_TABLE, materialize, repeatable, spread, with_rid, without, words
 from .fmindex import FMIndex
 
 #: Words of a window.
 WINDOW = 10
-#: Benchmark text that one pass holds in each task; a larger benchmark is searched in several passes.
+#: Benchmark text that one pass holds in each task; a larger benchmark is searched in several passes. Longer items are dealt in
+#: pieces, so that none passes this.
 BLOCK_BYTES = 16 << 20
 #: A shard ends with the batch in which it has so many symbols, or so many bytes of text.
 SHARD_SYMBOLS, SHARD_BYTES = 1 << 20, 8 << 20
@@ -24,11 +27,12 @@ SHARD_SYMBOLS, SHARD_BYTES = 1 << 20, 8 << 20
 SPLIT_BYTES = 1 << 20
 
 HITS = "array<struct<item:string,start:int,stop:int>>"
+SPANS = "array<struct<start:int,stop:int>>"
 
 
-def windows_of(items: list[tuple[str, bytes]], width: int = WINDOW) -> dict[tuple[bytes, ...], set[str]]:
+def windows_of(items: list[tuple[str | None, bytes]], width: int = WINDOW) -> dict[tuple[bytes, ...], set[str | None]]:
     """Every window of the items' words, with the items that have it."""
-    out: dict[tuple[bytes, ...], set[str]] = {}
+    out: dict[tuple[bytes, ...], set[str | None]] = {}
     for item, text in items:
         w = words(text)
         for i in range(max(1, len(w) - width + 1) if w else 0):
@@ -39,8 +43,8 @@ def windows_of(items: list[tuple[str, bytes]], width: int = WINDOW) -> dict[tupl
 class _Searcher:
     """The windows of a block of items, and the search for them in shards."""
 
-    def __init__(self, items: list[tuple[str, bytes]]):
-        found = sorted((k, sorted(v)) for k, v in windows_of(items).items())
+    def __init__(self, items: list[tuple[str | None, bytes]]):
+        found = sorted((k, sorted(v, key=_item_order)) for k, v in windows_of(items).items())
         self.items = [v for _, v in found]
         self.ids = _Ids({w: i + 2 for i, w in enumerate(sorted({w for k, _ in found for w in k}))})
         self.lengths = np.array([len(k) for k, _ in found], np.int64)
@@ -123,7 +127,7 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]
         yield held
 
 
-def _pieces(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+def _pieces(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
     """Batches of at most SHARD_BYTES of text, but for a longer single text."""
     for b in batches:
         size = np.cumsum(pc.fill_null(pc.binary_length(b.column(text)), 0).to_numpy(zero_copy_only=False))
@@ -135,13 +139,18 @@ def _pieces(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordB
             start = stop
 
 
-def _finder(items: list[tuple[str, bytes]], text: int, hits: int, n_words: int, keep_text: bool):
-    """Adds to the columns n_words and hits what a block of items has in each text."""
+def _item_order(item: str | None) -> tuple[bool, str]:
+    return item is not None, item or ""
+
+
+def _finder(items: list[tuple[str | None, bytes]], keep: list[str], only_hits: bool):
+    """The columns `keep` of each batch, n_words, hits and spans of what a block of items has in each text; only rows with hits, if
+    only_hits."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         searcher = _Searcher(items)
-        for shard in _shards(_pieces(batches, text)):
-            texts = [x or b"" for b in shard for x in b.column(text).cast(pa.binary()).to_pylist()]
+        for shard in _shards(_pieces(batches, "text")):
+            texts = [x or b"" for b in shard for x in b.column("text").cast(pa.binary()).to_pylist()]
             ids, counts = searcher.symbols(texts)
             starts = np.concatenate(([0], np.cumsum(counts)))[: len(counts)]
             at = searcher.reduced(ids, starts)
@@ -160,20 +169,36 @@ def _finder(items: list[tuple[str, bytes]], text: int, hits: int, n_words: int,
                 begin = end
             done = 0
             for b in shard:
-                columns = list(b.columns)
-                columns[n_words] = pa.array(counts[done : done + b.num_rows], pa.int64())
-                rows = []
-                for k, old in enumerate(b.column(hits).to_pylist()):
-                    new = [{"item": i, "start": s, "stop": e} for i, spans in sorted(found.get(done + k, {}).items()) for s, e in merged(spans)]
-                    rows.append((old or []) + new)
-                columns[hits] = pa.array(rows, b.column(hits).type)
+                hits, spans = [], []
+                for k in range(done, done + b.num_rows):
+                    own = found.get(k, {})
+                    hits.append([{"item": i, "start": s, "stop": e} for i in sorted(own, key=_item_order) for s, e in merged(own[i])])
+                    spans.append([{"start": s, "stop": e} for s, e in merged([x for v in own.values() for x in v])])
+                columns = [*(b.column(c) for c in keep), pa.array(counts[done : done + b.num_rows], pa.int64()), pa.array(hits, _HITS), pa.array(spans, _SPANS)]
+                out = pa.RecordBatch.from_arrays(columns, names=[*keep, "n_words", "hits", "spans"])
+                yield out.filter(pa.array([bool(h) for h in hits], pa.bool_())) if only_hits else out
                 done += b.num_rows
-                out = pa.RecordBatch.from_arrays(columns, schema=b.schema)
-                yield out if keep_text else out.drop_columns([b.schema.names[text]])
 
     return find
 
 
+_HITS = pa.list_(pa.struct([("item", pa.string()), ("start", pa.int32()), ("stop", pa.int32())]))
+_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
+
+
+def _unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hits of several blocks of items as one list, an item's spans merged, and the spans of all."""
+    for b in batches:
+        hits, spans = [], []
+        for lists in b.column("lists").to_pylist():
+            own: dict = {}
+            for h in (h for one in lists for h in one):
+                own.setdefault(h["item"], []).append((h["start"], h["stop"]))
+            hits.append([{"item": i, "start": s, "stop": e} for i in sorted(own, key=_item_order) for s, e in merged(own[i])])
+            spans.append([{"start": s, "stop": e} for s, e in merged([x for v in own.values() for x in v])])
+        yield pa.RecordBatch.from_arrays([b.column("__rid"), pa.array(hits, _HITS), pa.array(spans, _SPANS)], names=["__rid", "hits", "spans"])
+
+
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Overlapping or touching spans as one."""
     out: list[tuple[int, int]] = []
@@ -185,63 +210,83 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _blocks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[str, bytes]]]:
-    """The benchmark's items in blocks of at most `limit` bytes of text, but for a longer single item."""
+def _cut_items(limit: int):
+    """Items as their lower-cased words, long ones in pieces of at most `limit` bytes (but for one window) that share WINDOW - 1
+    words, so that each window is in one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for item, text in zip(b.column("item").to_pylist(), b.column("text")):
+                w = words(memoryview(text.as_buffer()).tobytes())
+                ends = np.cumsum([len(x) + 1 for x in w])
+                start, pieces = 0, []
+                while start < len(w):
+                    base = ends[start - 1] if start else 0
+                    stop = min(len(w), max(start + WINDOW, int(np.searchsorted(ends, base + limit, "right"))))
+                    pieces.append(b" ".join(w[start:stop]))
+                    start = len(w) if stop == len(w) else stop - WINDOW + 1
+                    if sum(map(len, pieces)) >= limit:
+                        yield _piece_batch(item, pieces)
+                        pieces = []
+                if pieces:
+                    yield _piece_batch(item, pieces)
+
+    return run
+
+
+def _piece_batch(item: str | None, pieces: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([item] * len(pieces), pa.string()), pa.array(pieces, pa.binary())], names=["item", "piece"])
+
+
+def _blocks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[str | None, bytes]]]:
+    """The benchmark's items in blocks of at most `limit` bytes of words. The driver holds one block, and one batch of them as it
+    comes."""
     held, size = [], 0
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")), "text").where("text IS NOT NULL")
-    for item, text in items.toLocalIterator():
-        text = text.encode()
-        if held and size + len(text) > limit:
+    items = benchmark.where("text IS NOT NULL").select(F.col("item_id").cast("string").alias("item"), F.encode("text", "UTF-8").alias("text"))
+    for item, piece in materialize(items.mapInArrow(_cut_items(limit), "item string, piece binary")).toLocalIterator():
+        if held and size + len(piece) > limit:
             yield held
             held, size = [], 0
-        held.append((item, text))
-        size += len(text)
+        held.append((item, bytes(piece)))
+        size += len(piece)
     if held:
         yield held
 
 
 def find(docs: DataFrame, benchmark: DataFrame, *, block_bytes: int = BLOCK_BYTES, keep_text: bool = True) -> DataFrame:
-    """Every column of docs (but text, if keep_text is false), n_words, and hits: array of (item, start, stop), the merged word spans (stop exclusive) of each
-    item's windows in the text.
+    """Every column of docs (but text, if keep_text is false), n_words, hits: array of (item, start, stop), the merged word spans (stop
+    exclusive) of each item's windows in the text, and spans: array of (start, stop), those of all items merged.
 
     Words are lower-cased runs as of common.WORD_TABLE. A window is WINDOW consecutive words of an item, or all words of one that
     has fewer (none if it has no words). Each task indexes its texts by shards: words that are in no window, and runs of others
-    too short for any, are left out, which loses no occurrence. The benchmark is the query set: it is read in blocks of bounded
-    size, each searched for in a pass over all rows, without a shuffle.
+    too short for any, are left out, which loses no occurrence. The benchmark is the query set: it is cut into blocks of bounded
+    size. One block is searched for in one pass over all rows, without a shuffle; of several, each has a pass of its own whose
+    hits are written, so a task never holds more than one, and rows with hits are joined by row id.
 
-    Null text: no words, no hits. A null item_id counts as the item `null`; repeated items count once. Rows that repeat are
-    searched each by itself. An empty benchmark gives no hits, an empty table no rows; columns named n_words or hits are
-    replaced.
+    Null text: no words, no hits. Items with a null item_id are one item, null in hits; repeated items count once. Rows that
+    repeat are searched each by itself. An empty benchmark gives no hits, an empty table no rows; columns named n_words, hits or
+    spans are replaced.
     """
-    lean(docs.sparkSession)
-    names = [c for c in docs.columns if c.lower() not in ("n_words", "hits")]
-    out = docs.select(*[F.col(f"`{c}`") for c in names], F.lit(0).cast("long").alias("n_words"), F.array().cast(HITS).alias("hits"))
-    text, n = names.index("text"), len(names)
-    held: list[tuple[str, bytes]] = []
-    for block in _blocks(benchmark, block_bytes):
-        if held:
-            out = out.mapInArrow(_finder(held, text, n + 1, n, True), out.schema)
-        held = block
-    return out.mapInArrow(_finder(held, text, n + 1, n, keep_text), (out if keep_text else out.drop("text")).schema)
-
-
-def merged_spans(hits: Column) -> Column:
-    """Word spans over all items, overlapping and touching ones merged: array of (start, stop)."""
-    ordered = F.array_sort(F.transform(hits, lambda h: F.struct(h["start"].alias("start"), h["stop"].alias("stop"))))
-    none = F.array().cast("array<struct<start:int,stop:int>>")
-    return F.aggregate(
-        ordered,
-        none,
-        lambda acc, h: F.when((F.size(acc) > 0) & (h["start"] <= F.element_at(acc, -1)["stop"]), _joined(acc, h)).otherwise(F.concat(acc, F.array(h))),
-    )
-
-
-def _joined(acc: Column, h: Column) -> Column:
-    last = F.element_at(acc, -1)
-    return F.concat(
-        F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))),
-        F.array(F.struct(last["start"].alias("start"), F.greatest(last["stop"], h["stop"]).alias("stop"))),
-    )
+    docs = without(docs, ["n_words", "hits", "spans"])
+    names = [c for c in docs.columns if keep_text or c != "text"]
+    added = f"n_words long, hits {HITS}, spans {SPANS}"
+
+    def schema(of: DataFrame, keep: list[str]):
+        return of.select(*[F.col(f"`{c}`") for c in keep], F.lit(0).cast("long").alias("n_words"), F.array().cast(HITS).alias("hits"), F.array().cast(SPANS).alias("spans")).schema
+
+    blocks = _blocks(benchmark, block_bytes)
+    first, second = next(blocks, []), next(blocks, None)
+    if second is None:
+        return spread(docs).mapInArrow(_finder(first, names, False), schema(docs, names))
+    rows = with_rid(repeatable(docs))
+    texts, found = spread(rows.select("__rid", "text")), []
+    for block in itertools.chain([first, second], blocks):
+        found.append(materialize(texts.mapInArrow(_finder(block, ["__rid"], True), f"__rid long, {added}")).select("__rid", "hits"))
+    lists = functools.reduce(DataFrame.union, found).groupBy("__rid").agg(F.collect_list("hits").alias("lists"))
+    united = lists.mapInArrow(_unite, f"__rid long, hits {HITS}, spans {SPANS}")
+    counted = rows.mapInArrow(_finder([], [*names, "__rid"], False), schema(rows, [*names, "__rid"])).drop("hits", "spans")
+    out = counted.join(united, "__rid", "left")
+    return out.select(*[F.col(f"`{c}`") for c in names], "n_words", *[F.coalesce(c, F.array().cast(t)).alias(c) for c, t in (("hits", HITS), ("spans", SPANS))])
 
 
 _LOWER = {c: c + 32 for c in range(0x41, 0x5B)}
@@ -257,16 +302,14 @@ def cut(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join(out) + text[done:]
 
 
-def _remover(text: int, hits: int):
-    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            spans = [merged([(h["start"], h["stop"]) for h in x or []]) for x in b.column(hits).to_pylist()]
-            if any(spans):
-                column = [cut(t, s) if s else t for t, s in zip(b.column(text).to_pylist(), spans)]
-                b = b.set_column(text, b.schema.field(text), pa.array(column, b.schema.field(text).type))
-            yield b
-
-    return remove
+def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        spans = [[(x["start"], x["stop"]) for x in row] for row in b.column("spans").to_pylist()]
+        if any(spans):
+            at = b.schema.get_field_index("text")
+            column = [cut(t, s) if s else t for t, s in zip(b.column(at).to_pylist(), spans)]
+            b = b.set_column(at, b.schema.field(at), pa.array(column, b.schema.field(at).type))
+        yield b
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -275,10 +318,9 @@ def remove(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     Documents without hits stay as they are; one that is cut and has no words left goes.
     """
     found = find(docs, benchmark, **options)
-    names = found.columns
-    out = found.mapInArrow(_remover(names.index("text"), names.index("hits")), found.schema)
+    out = found.mapInArrow(_remove, found.schema)
     hit = F.size("hits") > 0
     out = out.where(~hit | F.col("text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(hit, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*[F.col(f"`{c}`") for c in names if c not in ("n_words", "hits")])
+    return out.select(*[F.col(f"`{c}`") for c in found.columns if c not in ("n_words", "hits", "spans")])
