@@ -9,10 +9,10 @@ from dataclasses import dataclass
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import lean, materialize
+from .common import materialize, spread
 
 
 @dataclass(frozen=True)
@@ -128,8 +128,7 @@ def scan_versions(
 
     Repeated ledger rows count once; null ledger entries are ignored; an empty table gives no findings and no entries.
     """
-    lean(versions.sparkSession)
-    texts = versions.select(F.sha2(F.coalesce(F.col(f"`{content}`"), F.lit("")), 256).alias("blob"), F.encode(F.coalesce(F.col(f"`{content}`"), F.lit("")), "UTF-8").alias("content"))
+    texts = spread(versions.select(content)).select(F.sha2(F.coalesce(F.col(f"`{content}`"), F.lit("")), 256).alias("blob"), F.encode(F.coalesce(F.col(f"`{content}`"), F.lit("")), "UTF-8").alias("content"))
     ids = F.array(*[F.lit(r.id) for r in rules])
     blobs = texts.mapInArrow(_pack, "blob string, packed binary").groupBy("blob").agg(F.first("packed").alias("packed"))
     if ledger is not None:
@@ -146,6 +145,29 @@ def scan_versions(
     return findings, entries
 
 
+def scan_into(versions: DataFrame, store: str, *, rules: tuple[Rule, ...] = RULES, content: str = "text") -> DataFrame:
+    """Scan what the ledger of a store (a folder on a file system that driver and executors share) does not list, add findings and
+    entries to it, and return all its findings.
+
+    Findings are written before entries: a run that ends between the two scans again, and findings that repeat count once (see
+    by_path()). A new folder is an empty ledger.
+    """
+    spark = versions.sparkSession
+    ledger = _stored(spark, f"{store}/ledger", LEDGER)
+    findings, entries = scan_versions(versions, ledger, rules=rules, content=content)
+    findings.write.mode("append").parquet(f"{store}/findings")
+    materialize(entries).write.mode("append").parquet(f"{store}/ledger")
+    return _stored(spark, f"{store}/findings", FINDINGS)
+
+
+def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table of a store, empty where nothing was written yet."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def by_path(versions: DataFrame, findings: DataFrame, *, rules: tuple[Rule, ...] = RULES, content: str = "text", keep: list[str] | None = None) -> DataFrame:
     """A row for each version (every column, or those of `keep`), with blob and its findings: array of (kind, start, stop) by start,
     then kind as listed; empty where there are none. Findings that repeat over runs count once."""
