@@ -8,17 +8,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import lean, utf8, without
+from .common import materialize, spread, utf8, without
 
 #: Bytes of a window; windows follow one another through the whole text, the last filled up with zeros.
 WINDOW = 128
 #: Widths of the filters, filters of each width, dimensions of a byte's embedding.
 WIDTHS, FILTERS, DIM = (2, 3, 4), 16, 4
-#: Labelled rows used for training, at most, for each language (those of the smallest hashes), and windows of each.
-SAMPLE_ROWS, SAMPLE_WINDOWS = 1_000, 6
+#: Labelled rows used for training: at most so many for each language (those of the smallest hashes), so many in all (but for one of
+#: each language), and windows of each.
+SAMPLE_ROWS, SAMPLE_ALL, SAMPLE_WINDOWS = 1_000, 100_000, 6
 #: Windows computed at once.
 CHUNK = 256
 UNKNOWN = "und"
@@ -139,24 +140,38 @@ def _sampler(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.string(), pa.string(), pa.binary()))], names=["id", "lang", "window"])
 
 
-def fit(labelled: DataFrame, *, sample_rows: int = SAMPLE_ROWS, most_langs: int | None = None, **options) -> Net | None:
-    """A net from labelled rows (doc_id, text, lang), of which at most about `sample_rows` for each language are used, chosen by the
-    hash of doc_id; None if no row has both lang and text. Every lang is learned, or the `most_langs` most frequent if that is
-    given; rows of the others are then neither trained on nor predicted."""
+def sampled(rows: DataFrame, most: int) -> DataFrame:
+    """(doc_id, lang, text) of at most `most` rows of each lang: those of the smallest hashes of doc_id and text.
+
+    Where a language has many distinct rows, a share of them by hash is looked at first, some four times as many as wanted; the rest
+    are ranked exactly, each task sending on no more than it could give. So no language is lost, whatever repeats.
+    """
+    h = F.xxhash64(F.col("doc_id").cast("string"), "text", F.lit(11))
+    rows = rows.select("doc_id", "lang", "text", h.alias("h"))
+    share = rows.groupBy("lang").agg(F.greatest(F.lit(1), F.floor(F.approx_count_distinct("h") / (4 * most))).alias("every"))
+    share = materialize(share).select(F.col("lang").alias("__l"), "every")  # a row for each language
+    part = rows.join(F.broadcast(share), F.col("lang") == F.col("__l")).where(F.pmod("h", "every") == 0)
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    return part.withColumn("nth", nth).where(F.col("nth") <= most).select("doc_id", "lang", "text")
+
+
+def fit(labelled: DataFrame, *, sample_rows: int = SAMPLE_ROWS, sample_all: int = SAMPLE_ALL, most_langs: int | None = None, **options) -> Net | None:
+    """A net from labelled rows (doc_id, text, lang), of which at most `sample_rows` for each language and `sample_all` in all (but for
+    one of each language) are used (see sampled()); None if no row has both lang and text. Every lang is learned, or the `most_langs`
+    most frequent if that is given; rows of the others are then neither trained on nor predicted."""
     rows = labelled.where("lang IS NOT NULL AND length(text) > 0")
     counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang")
-    counts = (counts if most_langs is None else counts.limit(most_langs)).collect()
-    if not counts:
+    langs = sorted(r["lang"] for r in (counts if most_langs is None else counts.limit(most_langs)).collect())
+    if not langs:
         return None
-    langs = sorted(r["lang"] for r in counts)
-    every = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(-(-r["count"] // sample_rows)))])
-    part = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), every[F.col("lang")]) == 0)
+    if most_langs is not None:
+        rows = rows.where(F.col("lang").isin(langs))
+    part = sampled(rows, max(1, min(sample_rows, sample_all // len(langs))))
     got = part.select(F.col("doc_id").cast("string").alias("id"), "lang", "text").mapInArrow(_sampler, "id string, lang string, window binary").toArrow()
     rows_ = sorted(zip(*(got.column(c).to_pylist() for c in ("id", "lang", "window"))))  # the same in every run
-    if not rows_:
-        return None
     x = np.array([np.frombuffer(w, np.uint8) for _, _, w in rows_])
-    return train(x, np.array([langs.index(lang) for _, lang, _ in rows_]), langs, **options)
+    index = {lang: i for i, lang in enumerate(langs)}
+    return train(x, np.array([index[lang] for _, lang, _ in rows_]), langs, **options)
 
 
 def _has_letter(text: bytes | None) -> bool:
@@ -222,14 +237,13 @@ def identify(docs: DataFrame, net: Net | None = None, *, keep_text: bool = True,
     `und` and score 0. Rows that repeat get equal results; columns named like those added are replaced; an empty table gives
     no rows.
     """
-    lean(docs.sparkSession)
     docs = without(docs, ["held_out", "lang_pred", "score"])
     if net is None:
         net = _fitted(docs, **options)
     names = docs.columns
     out = docs.select("*", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score"))
     out = out if keep_text else out.drop("text")
-    out = docs.mapInArrow(_predictor(net, names.index("text"), keep_text), out.schema)
+    out = spread(docs).mapInArrow(_predictor(net, names.index("text"), keep_text), out.schema)
     return out.select(*[F.col(f"`{c}`") for c in names if keep_text or c != "text"], held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
@@ -252,7 +266,6 @@ def keep_known(docs: DataFrame, net: Net | None = None, *, least: float = LEAST_
     if net is None:
         net = _fitted(docs, **options)
     if net is None:
-        lean(docs.sparkSession)
         return docs.mapInArrow(_lettered(docs.columns.index("text")), docs.schema)
     told = identify(docs, net).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
     return told.select(*[F.col(f"`{c}`") for c in docs.columns])
