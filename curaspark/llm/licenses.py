@@ -9,8 +9,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, ascii_lower, materialize, repeatable, with_rid, without
+from .common import WORD, ascii_lower, materialize, repeatable, spread, with_rid, without
+from .license_texts import TEXTS
 
+_LOWER = {c: c + 32 for c in range(0x41, 0x5B)}
 
 #: A block begins every STRIDE words and has twice as many, so that any STRIDE + 1 words in a row lie in one; longer templates
 #: have larger blocks of their own.
@@ -29,7 +31,7 @@ class Template:
 
     @property
     def words(self) -> list[str]:
-        return re.findall(WORD, self.text)
+        return re.findall(WORD, self.text.translate(_LOWER))
 
     @property
     def tokens(self) -> list[str]:
@@ -64,13 +66,15 @@ NOTICES = (
     Template("mit-grant", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
     Template("all-rights-reserved", "all rights reserved"),
 )
+#: Whole licences, found wherever a block of twice their length or more holds 80% of their distinct words.
+LICENSES = tuple(Template(label, text) for label, text in TEXTS)
 
 
 def _literal(values: list) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
-def scan(docs: DataFrame, templates: tuple[Template, ...] = PHRASES + NOTICES) -> DataFrame:
+def scan(docs: DataFrame, templates: tuple[Template, ...] = PHRASES + NOTICES + LICENSES) -> DataFrame:
     """Every column of docs, and n_words, n_base, first_word, last_word, base_labels, labels, score (as of the templates).
 
     Text blocks (64 words, one every 32; for templates of more than 33 words, blocks of 128 every 64, and so on) are joined with the templates: tokens are ordered by the number of documents that
@@ -89,35 +93,40 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = PHRASES + NOTICES) -
     docs = with_rid(without(repeatable(docs), added))
     vocabulary = sorted({w for t in templates for w in t.tokens})
     # One pass over the texts: their words, the template tokens among them, and the words themselves of documents that could match.
-    found = docs.select("__rid", F.regexp_extract_all(ascii_lower(F.coalesce("text", F.lit(""))), F.lit(WORD), F.lit(0)).alias("words")).select(
+    found = spread(docs.select("__rid", "text")).select("__rid", F.regexp_extract_all(ascii_lower(F.coalesce("text", F.lit(""))), F.lit(WORD), F.lit(0)).alias("words")).select(
         "__rid", "words", F.array_intersect("words", _literal(vocabulary)).alias("present")
     )
-    could = F.lit(False)
-    for t in templates:
-        could = could | (F.size(F.array_intersect("present", _literal(t.tokens))) >= t.need)
-    passed = materialize(found.select("__rid", F.size("words").cast("long").alias("n_words"), "present", F.when(could, F.col("words")).alias("words")))
-    counts = dict(passed.select(F.explode("present").alias("token")).groupBy("token").count().collect())  # at most the vocabulary
-    order = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (counts.get(w, 0), w)))}
-
-    ranks = F.create_map(*[F.lit(x) for w, i in order.items() for x in (w, i)])
     strides = sorted({t.stride for t in templates})
 
-    def starts(n: int) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.size("words") - 1, F.lit(n)), lambda at: F.struct(at.alias("start"), F.lit(n).alias("stride")))
+    def could(stride: int) -> Column:
+        """Whether the whole document has enough words of a template with blocks of that size."""
+        fit = F.lit(False)
+        for t in templates:
+            if t.stride == stride:
+                fit = fit | (F.size(F.array_intersect("present", _literal(t.tokens))) >= t.need)
+        return fit
 
+    found = found.withColumn("strides", F.array_compact(F.array(*[F.when(could(n), F.lit(n)) for n in strides])))
+    passed = materialize(found.select("__rid", F.size("words").cast("long").alias("n_words"), "present", "strides", F.when(F.size("strides") > 0, F.col("words")).alias("words")))
+    counts = dict(passed.select(F.explode("present").alias("token")).groupBy("token").count().collect())  # at most the vocabulary
+    ranked = sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
+    order = {w: i for i, w in enumerate(ranked)}
+    starts = F.flatten(
+        F.transform("strides", lambda n: F.transform(F.sequence(F.lit(0), F.size("words") - 1, n), lambda at: F.struct(at.alias("start"), n.alias("stride"))))
+    )
     blocks = (
         passed.where(F.size("words") > 0)
-        .select("__rid", "words", F.explode(F.concat(*map(starts, strides))).alias("at"))
+        .select("__rid", "words", F.explode(starts).alias("at"))
         .select("__rid", "at.start", "at.stride", F.expr("slice(words, at.start + 1, 2 * at.stride)").alias("block"))
-        .withColumn("tokens", F.array_sort(F.transform(F.array_intersect("block", _literal(vocabulary)), lambda w: ranks[w])))
+        .withColumn("tokens", F.array_intersect(_literal(ranked), "block"))  # in the order of the first, the rarest first
     )
     index, sets = [], []
     for k, t in enumerate(templates):
-        own = sorted(order[w] for w in t.tokens)
+        own = sorted(t.tokens, key=order.get)
         sets.append((k, own))
         index += [(r, t.stride, k, at, len(own), t.need) for at, r in enumerate(own[: len(own) - t.need + 1])]
     spark = docs.sparkSession
-    index = F.broadcast(spark.createDataFrame(index, "token int, stride int, template int, at int, n int, need int"))
+    index = F.broadcast(spark.createDataFrame(index, "token string, stride int, template int, at int, n int, need int"))
     least = min(t.need for t in templates)
     candidates = (
         blocks.where(F.size("tokens") >= least)
@@ -125,7 +134,7 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = PHRASES + NOTICES) -
         .join(index, ["token", "stride"])
         .where(F.size("tokens") >= F.col("need"))
         .where(1 + F.least(F.col("n") - 1 - F.col("at"), F.size("tokens") - 1 - F.col("pos")) >= F.col("need"))
-        .groupBy("__rid", "start", "template")
+        .groupBy("__rid", "start", "template")  # a template has one stride
         .agg(F.first("block").alias("block"), F.first("tokens").alias("tokens"), F.first("n").alias("n"), F.first("need").alias("need"))
     )
     of = F.create_map(*[x for k, own in sets for x in (F.lit(k), _literal(own))])
