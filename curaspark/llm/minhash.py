@@ -8,10 +8,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, components, few, lean, materialize, mix, repeatable, shingles, utf8, with_rid, without, words
+from .common import WordHash, components, few, materialize, mix, repeatable, shingles, spread, utf8, with_rid, without, words
 
 #: Words of a shingle, and the weighted Jaccard similarity from which two documents are linked.
 WIDTH, THRESHOLD = 5, 0.8
@@ -19,8 +19,10 @@ WIDTH, THRESHOLD = 5, 0.8
 BANDS, ROWS = 30, 5
 #: Rounds in which a bucket's members are compared with one of them, another one in each round.
 ROUNDS = 3
-#: Documents in a block where members of a bucket are compared with all others.
-BLOCK = 256
+#: Words of the documents that are signed at once, but for a longer last one.
+SIGNED = 1 << 12
+#: Shingles after which a task sends a batch on.
+SENT = 1 << 18
 #: Tables of row ids are broadcast up to so many rows; beyond that the texts are shuffled.
 FEW_ROWS = 1_000_000
 
@@ -33,46 +35,54 @@ def _unit(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(11)).astype(np.float64) * 2.0**-53
 
 
-def dart_minhash(elements: np.ndarray, weights: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
-    """k weighted min-hashes of a set of 64-bit elements with weights above 0: two sets agree at a coordinate with the probability
-    of their weighted Jaccard similarity.
+def _counted(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index of each of n[i] copies of i, and its number among them."""
+    index = np.repeat(np.arange(len(n)), n)
+    return index, np.arange(len(index)) - np.repeat(np.cumsum(n) - n, n)
+
+
+def dart_minhash(sets: list[tuple[np.ndarray, np.ndarray]], k: int, seed: int = 0) -> np.ndarray:
+    """k weighted min-hashes of each set of 64-bit elements with weights above 0, a row for each: two sets agree at a coordinate with
+    the probability of their weighted Jaccard similarity.
 
     Hashed darts lie in the plane of weight and rank that belongs to each element, one per unit of area on average (a Poisson
     process that is drawn cell by cell, so that all sets see the same darts). A set gets the darts below its elements'
     weights whose rank is below a limit, chosen so that k ln k + 2 k are expected; each dart belongs to a random
-    coordinate, which keeps the earliest. Where a coordinate has none, the limit is doubled.
+    coordinate, which keeps the earliest. Where a coordinate of a set has none, that set's limit is doubled.
     """
-    limit = (k * math.log(k) + 2 * k) / float(weights.sum())
-    while True:
+    out = np.empty((len(sets), k), np.uint64)
+    todo = np.arange(len(sets))
+    limits = np.array([(k * math.log(k) + 2 * k) / float(w.sum()) for _, w in sets])
+    while len(todo):
+        of, _ = _counted(np.array([len(sets[i][0]) for i in todo]))
+        weight = np.concatenate([sets[i][1] for i in todo])
+        limit = limits[todo]
         # Cells of weight [a, a+1) and rank [b, b+1).
-        tall, wide = np.ceil(weights).astype(np.int64), math.ceil(limit)
-        e = np.repeat(elements, tall)
-        a = np.arange(len(e)) - np.repeat(np.cumsum(tall) - tall, tall)
-        top = np.repeat(weights, tall)
-        cell = mix(e ^ mix(a.astype(np.uint64) * _GOLDEN + np.uint64(seed + 1)))
-        b = np.zeros(len(cell), np.int64)
-        if wide > 1:
-            cell, a, top = np.repeat(cell, wide), np.repeat(a, wide), np.repeat(top, wide)
-            b = np.tile(np.arange(wide), len(e))
-        cell = mix(cell + b.astype(np.uint64) * _GOLDEN)
-        darts = np.searchsorted(_POISSON, _unit(cell), "right")
-        d = np.repeat(cell, darts)
-        nth = np.arange(len(d)) - np.repeat(np.cumsum(darts) - darts, darts)
-        d = mix(d + (nth.astype(np.uint64) + np.uint64(1)) * _GOLDEN)
-        rank = np.repeat(b, darts) + _unit(d)
-        keep = np.flatnonzero(rank < limit)
-        d, rank = d[keep], rank[keep]
+        at, a = _counted(np.ceil(weight).astype(np.int64))
+        of, top = of[at], weight[at]
+        cell = mix(np.concatenate([sets[i][0] for i in todo])[at] ^ mix(a.astype(np.uint64) * _GOLDEN + np.uint64(seed + 1)))
+        at, b = _counted(np.ceil(limit).astype(np.int64)[of])
+        of, top, a = of[at], top[at], a[at]
+        cell = mix(cell[at] + b.astype(np.uint64) * _GOLDEN)
+        at, nth = _counted(np.searchsorted(_POISSON, _unit(cell), "right"))
+        d = mix(cell[at] + (nth.astype(np.uint64) + np.uint64(1)) * _GOLDEN)
+        rank = b[at] + _unit(d)
+        keep = np.flatnonzero(rank < limit[of[at]])
+        at, d, rank = at[keep], d[keep], rank[keep]
         own = mix(d + _GOLDEN)
-        height = np.repeat(a, darts)[keep] + _unit(own)
-        keep = np.flatnonzero(height < np.repeat(top, darts)[keep])
-        d, rank, own = d[keep], rank[keep], own[keep]
-        coordinate = (mix(own + _GOLDEN) % np.uint64(k)).astype(np.int64)
-        order = np.lexsort((rank, coordinate))
-        coordinate = coordinate[order]
-        first = np.flatnonzero(np.concatenate(([True], coordinate[1:] != coordinate[:-1]))) if len(coordinate) else coordinate
-        if len(first) == k:
-            return d[order[first]]
-        limit *= 2
+        keep = np.flatnonzero(a[at] + _unit(own) < top[at])
+        at, d, rank, own = at[keep], d[keep], rank[keep], own[keep]
+        place = of[at] * k + (mix(own + _GOLDEN) % np.uint64(k)).astype(np.int64)
+        earliest = np.full(len(todo) * k, np.inf)
+        np.minimum.at(earliest, place, rank)
+        first = np.flatnonzero(rank == earliest[place])
+        found = np.empty(len(todo) * k, np.uint64)
+        found[place[first]] = d[first]
+        whole = np.isfinite(earliest).reshape(len(todo), k).all(axis=1)
+        out[todo[whole]] = found.reshape(len(todo), k)[whole]
+        todo = todo[~whole]
+        limits[todo] *= 2
+    return out
 
 
 def weighted(hashes: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
@@ -80,137 +90,111 @@ def weighted(hashes: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.nda
     return np.unique(shingles(hashes, width), return_counts=True)
 
 
-def similarity(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> float:
-    """Weighted Jaccard similarity of what weighted() gives."""
-    _, i, j = np.intersect1d(x[0], y[0], assume_unique=True, return_indices=True)
-    both = int(np.minimum(x[1][i], y[1][j]).sum())
-    either = int(x[1].sum() + y[1].sum()) - both
-    return both / either if either else 0.0
+def tokens_of(hashes: np.ndarray, width: int = WIDTH) -> np.ndarray:
+    """A text's shingles as a plain set: the nth occurrence of a shingle is an element of its own, so that the Jaccard similarity of two
+    such sets is the weighted one of the texts."""
+    at, nth = _counted((found := weighted(hashes, width))[1])
+    element = found[0][at]
+    return np.where(nth > 0, mix(element + nth.astype(np.uint64) * _GOLDEN), element)
+
+
+def _hashed(cache: WordHash, w: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(cache.__getitem__, w), np.uint64, len(w))
 
 
 def _signer(width: int, bands: int, rows: int):
+    """(rid, content, n, bands): the hash of a text's words, how many shingles they make, and the keys of its bands; nulls without words."""
+
+    def keys(sets: list) -> list[np.ndarray]:
+        signature = dart_minhash([(e, n.astype(np.float64)) for e, n in sets], bands * rows).reshape(len(sets), bands, rows)
+        key = np.tile(np.arange(bands, dtype=np.uint64) * _GOLDEN, (len(sets), 1))
+        for i in range(rows):
+            key = mix(key ^ signature[:, :, i]) + _GOLDEN
+        return list(key.view(np.int64))
+
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHash()
         for batch in batches:
-            contents, found = [], []
+            contents, sizes, found, held, size = [], [], [], [], 0
             for text in utf8(batch.column("text")):
                 w = words(text or b"")
-                if not w:
-                    contents.append(None)
-                    found.append(None)
-                    continue
-                contents.append(xxhash.xxh3_128_hexdigest(b" ".join(w)))
-                h = np.fromiter(map(cache.__getitem__, w), np.uint64, len(w))
-                elements, counts = weighted(h, width)
-                signature = dart_minhash(elements, counts.astype(np.float64), bands * rows).reshape(bands, rows)
-                key = np.arange(bands, dtype=np.uint64) * _GOLDEN
-                for i in range(rows):
-                    key = mix(key ^ signature[:, i]) + _GOLDEN
-                found.append(key.view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("__rid"), pa.array(contents, pa.string()), pa.array(found, pa.list_(pa.int64()))], names=["rid", "content", "bands"]
-            )
+                contents.append(xxhash.xxh3_128_hexdigest(b" ".join(w)) if w else None)
+                sizes.append(max(1, len(w) - width + 1) if w else None)
+                if w:
+                    held.append(weighted(_hashed(cache, w), width))
+                    size += len(w)
+                if size >= SIGNED:
+                    found += keys(held)
+                    held, size = [], 0
+            own = iter(found + (keys(held) if held else []))
+            bands_of = pa.array([None if c is None else next(own) for c in contents], pa.list_(pa.int64()))
+            columns = [batch.column("__rid"), pa.array(contents, pa.string()), pa.array(sizes, pa.int32()), bands_of]
+            yield pa.RecordBatch.from_arrays(columns, names=["rid", "content", "n", "bands"])
 
     return sign
 
 
-def _verifier(width: int):
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _tokeniser(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHash()
-        last: tuple = (None, None)
+        for batch in batches:
+            rids, sets, size = [], [], 0
+            for rid, text in zip(batch.column("__rid").to_pylist(), utf8(batch.column("text"))):
+                rids.append(rid)
+                sets.append(tokens_of(_hashed(cache, words(text)), width).view(np.int64))
+                size += len(sets[-1])
+                if size >= SENT:
+                    yield _token_batch(rids, sets)
+                    rids, sets, size = [], [], 0
+            if rids:
+                yield _token_batch(rids, sets)
 
-        def of(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-            w = words(text)
-            return weighted(np.fromiter(map(cache.__getitem__, w), np.uint64, len(w)), width)
+    return run
 
-        for batch in batches:
-            out = []
-            texts = batch.column("a_text").cast(pa.binary()), batch.column("b_text").cast(pa.binary())
-            for i, (a, b) in enumerate(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())):
-                if last[0] != a:
-                    last = (a, of(texts[0][i].as_py()))
-                out.append((a, b, similarity(last[1], of(texts[1][i].as_py()))))
-            a, b, s = zip(*out) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(s, pa.float64())], names=["a", "b", "similarity"])
 
-    return verify
+def _token_batch(rids: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+    ends = np.concatenate(([0], np.cumsum([len(x) for x in sets]))).astype(np.int32)
+    return pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets)))], names=["rid", "tokens"])
 
 
-def _compared(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """(a, b, similarity) of pairs (a, b) of row ids, from their whole texts."""
-    b = texts.select(F.col("rid").alias("b"), F.col("text").alias("b_text"))
-    a = texts.select(F.col("rid").alias("a"), F.col("text").alias("a_text"))
-    both = pairs.join(b, "b").join(a, "a").select("a", "b", "a_text", "b_text")
-    return both.mapInArrow(_verifier(width), "a long, b long, similarity double")
+def _alike(n: Column, m: Column, threshold: float) -> Column:
+    """Whether sets of so many elements can be similar enough at all."""
+    return F.least(n, m) >= F.lit(threshold) * F.greatest(n, m)
 
 
-def _block_comparer(width: int, threshold: float):
-    def compare(table):
-        """Links between the left documents of a block pair and right ones of other components, one for each such component.
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, similarity) of pairs (a, b) of row ids, from the shingles of their whole texts."""
+    a = sets.select(F.col("rid").alias("a"), F.col("tokens").alias("x"))
+    b = sets.select(F.col("rid").alias("b"), F.col("tokens").alias("y"))
+    both = pairs.join(a, "a").join(b, "b").select("a", "b", F.size(F.array_intersect("x", "y")).alias("same"), (F.size("x") + F.size("y")).alias("all"))
+    return both.select("a", "b", (F.col("same") / (F.col("all") - F.col("same"))).alias("similarity"))
 
-        Overlaps come from an index of the right documents' shingles, a left document at a time; no pair is sent on but links.
-        """
-        table = table.combine_chunks()
-        cache = WordHash()
-        left = table.column("is_left").to_numpy(zero_copy_only=False).astype(bool)
-        rids, roots = table.column("rid").to_numpy(), table.column("root").to_numpy()
-        sets = []
-        for text in utf8(table.column("text")):
-            w = words(text)
-            sets.append(weighted(np.fromiter(map(cache.__getitem__, w), np.uint64, len(w)), width))
-        i, j = np.flatnonzero(left), np.flatnonzero(~left)
-        size = np.array([c.sum() for _, c in sets])
-        owner = np.repeat(np.arange(len(j)), [len(sets[k][0]) for k in j])
-        shingle = np.concatenate([sets[k][0] for k in j]) if len(j) else np.zeros(0, np.uint64)
-        count = np.concatenate([sets[k][1] for k in j]) if len(j) else np.zeros(0, np.int64)
-        order = np.argsort(shingle, kind="stable")
-        shingle, owner, count = shingle[order], owner[order], count[order]
-        out: tuple[list, list] = ([], [])
-        for k in i:
-            mine, own = sets[k]
-            low, high = np.searchsorted(shingle, mine, "left"), np.searchsorted(shingle, mine, "right")
-            n = high - low
-            at = np.repeat(low - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-            both = np.bincount(owner[at], np.minimum(count[at], np.repeat(own, n)), len(j))
-            near = np.flatnonzero((both / np.maximum(size[k] + size[j] - both, 1) >= threshold) & (roots[j] != roots[k]))
-            _, first = np.unique(roots[j][near], return_index=True)
-            out[0].extend([rids[k]] * len(first))
-            out[1].extend(rids[j][near[first]])
-        return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
-
-    return compare
-
-
-def _rest(members: DataFrame, texts: DataFrame, width: int, threshold: float) -> DataFrame:
-    """Links (a, b) between components that share a bucket: in each bucket (members: bucket, rid, root), the documents outside its
-    largest component are compared with all others, block by block."""
-    parts = members.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    buckets = parts.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("big"), F.sum("n").alias("n"), F.count("*").alias("parts"))
-    buckets = buckets.where("parts > 1").select(
-        "bucket",
-        F.col("big.root").alias("big"),
-        F.ceil((F.col("n") - F.col("big.n")) / BLOCK).cast("int").alias("lefts"),
-        F.ceil(F.col("n") / BLOCK).cast("int").alias("rights"),
-    )
-    dealt = members.join(buckets, "bucket")
-    left = dealt.where("root <> big").select(
-        "bucket",
-        F.pmod(F.xxhash64("rid", F.lit(3)), F.col("lefts")).cast("int").alias("i"),
-        F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("j"),
-        F.lit(True).alias("is_left"),
-        "rid",
-        "root",
-    )
-    right = dealt.select(
-        "bucket",
-        F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("i"),
-        F.pmod(F.xxhash64("rid", F.lit(5)), F.col("rights")).cast("int").alias("j"),
-        F.lit(False).alias("is_left"),
-        "rid",
-        "root",
-    )
-    tasks = left.union(right).join(texts, "rid")
-    return tasks.groupBy("bucket", "i", "j").applyInArrow(_block_comparer(width, threshold), "a long, b long")
+
+def _rest(members: DataFrame, sets: DataFrame, tested: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between components that share a bucket (members: bucket, rid, n, root) and haven't been tested.
+
+    Two sets that are similar enough share one of the rarest tokens of each (prefix filter): a set of n tokens is told by its
+    n - ceil(threshold * n) + 1 rarest. In each bucket, documents outside its largest component are joined with those of other
+    components by these tokens, of which those that a single component has join nothing. So what is compared follows from
+    what is alike; a bucket of dissimilar documents, however large, gives no pairs.
+    """
+    parts = members.groupBy("bucket", "root").agg(F.count("*").alias("docs"))
+    big = parts.groupBy("bucket").agg(F.max(F.struct("docs", "root"))["root"].alias("big"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
+    members = materialize(members.join(big, "bucket"))
+    there = sets.join(few(members.select("rid").distinct(), FEW_ROWS), "rid", "left_semi")
+    tokens = there.select("rid", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
+    rows = tokens.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1")
+    # Tokens of one document alone are its rarest and join nothing: they only use up places of its prefix.
+    ranked = tokens.join(rows, "token").groupBy("rid").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("rows", "token"))).alias("found"))
+    prefix = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9) + 1 - (F.col("n") - F.size("found"))
+    rare = ranked.select("rid", F.explode(F.slice("found", F.lit(1), F.greatest(prefix, F.lit(0)).cast("int"))["token"]).alias("token"))
+    placed = materialize(members.join(rare, "rid"))
+    several = placed.groupBy("bucket", "token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("bucket", "token")
+    placed = materialize(placed.join(several, ["bucket", "token"], "left_semi"))
+    other = placed.select("bucket", "token", F.col("rid").alias("other"), F.col("n").alias("m"), F.col("root").alias("its"))
+    met = placed.where("root <> big").join(other, ["bucket", "token"]).where((F.col("root") != F.col("its")) & _alike(F.col("n"), F.col("m"), threshold))
+    pairs = met.select(F.least("rid", "other").alias("a"), F.greatest("rid", "other").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
+    return _compared(pairs, sets).where(F.col("similarity") >= threshold).select("a", "b")
 
 
 def links(docs: DataFrame, *, width: int = WIDTH, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
@@ -218,43 +202,47 @@ def links(docs: DataFrame, *, width: int = WIDTH, threshold: float = THRESHOLD,
     representatives that are at least `threshold` similar, enough to tell the components of all such pairs that share a bucket.
 
     Rows of the same words are one class and go on as one representative. In each bucket of the banded signatures, members are
-    compared with one of them, by rounds with another one, unless they are in its component already: as many pairs as
-    members, never all. What then is still outside a bucket's largest component is compared with all others there, in
-    blocks, so that no link which a shared bucket shows is lost; a large group of copies is mostly one component by then.
+    compared with one of them, which is then done with there, and by rounds with another one, unless they are in its component
+    already: as many pairs as members, never all. A bucket of at most ROUNDS + 1 members is wholly compared so. What then is
+    still in several components is joined by rare shingles (see _rest()), so that no link which a shared bucket shows is lost; a large
+    group of copies is mostly one component by then. All comparisons are of hashed shingles, which are made once for the documents
+    that share a bucket.
     """
-    lean(docs.sparkSession)
-    signed = materialize(docs.select("__rid", "text").mapInArrow(_signer(width, bands, rows), "rid long, content string, bands array<long>"))
-    classes = signed.where("content IS NOT NULL").groupBy("content").agg(F.min("rid").alias("representative"), F.first("bands").alias("bands"))
+    texts = docs.select("__rid", "text")
+    signed = materialize(spread(texts).mapInArrow(_signer(width, bands, rows), "rid long, content string, n int, bands array<long>"))
+    classes = signed.where("content IS NOT NULL").groupBy("content").agg(F.min("rid").alias("representative"), F.first("n").alias("n"), F.first("bands").alias("bands"))
     classes = materialize(classes)
     members = signed.select("rid", "content").join(classes.select("content", "representative"), "content", "left")
     members = members.select("rid", F.coalesce("representative", "rid").alias("representative"))
 
-    placed = classes.select(F.col("representative").alias("rid"), F.explode("bands").alias("bucket"))
-    several = placed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    shared = materialize(placed.join(several, "bucket", "left_semi"))
-    needed = materialize(shared.select(F.col("rid").alias("__rid")).distinct())
-    texts = materialize(docs.select("__rid", "text").join(few(needed, FEW_ROWS), "__rid", "left_semi").withColumnRenamed("__rid", "rid"))
+    placed = classes.select(F.col("representative").alias("rid"), "n", F.explode("bands").alias("bucket"))
+    several = placed.groupBy("bucket").agg(F.count("*").alias("rows")).where("rows > 1").select("bucket")
+    placed = materialize(placed.join(several, "bucket", "left_semi").withColumn("root", F.col("rid")))
+    needed = materialize(placed.select(F.col("rid").alias("__rid")).distinct())
+    sets = materialize(texts.join(few(needed, FEW_ROWS), "__rid", "left_semi").mapInArrow(_tokeniser(width), "rid long, tokens array<long>"))
 
-    placed, tested, found = shared.withColumn("root", F.col("rid")), None, None
+    tested, found = None, None
     for k in range(ROUNDS):
-        first = placed.groupBy("bucket").agg(F.min_by(F.struct("rid", "root"), F.xxhash64("rid", F.lit(k))).alias("first"))
-        pairs = placed.join(first, "bucket").where(F.col("root") != F.col("first.root"))
+        first = placed.groupBy("bucket").agg(F.min_by(F.struct("rid", "root", "n"), F.xxhash64("rid", F.lit(k))).alias("first"))
+        # The first of a bucket has been compared with all others there, and is done with.
+        placed = materialize(placed.join(first, "bucket").where(F.col("rid") != F.col("first.rid")))
+        pairs = placed.where((F.col("root") != F.col("first.root")) & _alike(F.col("n"), F.col("first.n"), threshold))
         pairs = pairs.select(F.least("rid", "first.rid").alias("a"), F.greatest("rid", "first.rid").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        compared = materialize(_compared(pairs, texts, width))
+        compared = materialize(_compared(pairs, sets))
         tested = compared.select("a", "b") if tested is None else tested.union(compared.select("a", "b"))
         near = compared.where(F.col("similarity") >= threshold).select("a", "b")
         found = near if found is None else found.union(near)
-        placed = _rooted(shared, found)
-    return members, found.union(_rest(placed, texts, width, threshold))
+        placed = _rooted(placed.select("bucket", "rid", "n"), found)
+    return members, found.union(_rest(placed, sets, tested, threshold))
 
 
-def _rooted(shared: DataFrame, found: DataFrame) -> DataFrame:
-    """(bucket, rid, root) of the buckets that still hold several components."""
-    placed = shared.join(components(found).withColumnRenamed("node", "rid"), "rid", "left").select("bucket", "rid", F.coalesce("root", "rid").alias("root"))
+def _rooted(placed: DataFrame, found: DataFrame) -> DataFrame:
+    """(bucket, rid, n, root) of the buckets that still hold several components."""
+    placed = placed.join(components(found).withColumnRenamed("node", "rid"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))
     several = placed.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("bucket")
-    return materialize(placed.join(several, "bucket", "left_semi"))
+    return materialize(placed.join(several, "bucket", "left_semi").select("bucket", "rid", "n", "root"))
 
 
 def classes(docs: DataFrame, *, keep_text: bool = True, **options) -> DataFrame:
