@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHash, lean, materialize, mix, repeatable, utf8, with_rid, without, words
+from .common import WordHash, materialize, mix, repeatable, spread, utf8, with_rid, without, words
 
 #: Words of a line per edit: a line is a near-copy within one edit if that is at most a fifth of the longer line's words.
 WORDS_PER_EDIT = 5
@@ -223,11 +223,10 @@ def _met_by_runs(near: DataFrame, id_type: str) -> DataFrame:
 
 def repeated_lines(docs: DataFrame, *, growing: bool = False) -> DataFrame:
     """(__rid, lines): the numbers of the lines to be removed from each row of docs (with __rid, doc_id, text) that has any."""
-    lean(docs.sparkSession)
     place = F.struct(*_ORDER)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     lines = materialize(
-        docs.select("__rid", "doc_id", "text").mapInArrow(_lister, f"doc_id {id_type}, rid long, line int, h1 long, h2 long, n int, halves array<long>")
+        spread(docs.select("__rid", "doc_id", "text")).mapInArrow(_lister, f"doc_id {id_type}, rid long, line int, h1 long, h2 long, n int, halves array<long>")
     )
     # Which distinct lines share a half with another one: only these can be within one edit of anything.
     placed = lines.where(F.size("halves") > 0).select("h1", F.explode("halves").alias("half"))

@@ -42,7 +42,7 @@ def key_of(doc_id: Column, text: Column, weight: Column, seed: int) -> Column:
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
-    """Targets of sources: (source, source_size, target) from (source, source_size).
+    """Targets of sources: (source, source_size, ..., target) from (source, source_size, ...).
 
     Sources in the order of their code points, null last, get `weights` in turn and share the sum of all sizes by them; a
     target stops at `most` times its source's size, and the excess is shared again by weight until none is above. Solved
@@ -51,7 +51,7 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most:
     """
     by_name = Window.orderBy(F.col("source").asc_nulls_last())
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), ((F.row_number().over(by_name) - 1) % len(weights) + 1).cast("int"))
-    s = sizes.select("source", "source_size", weight.alias("w")).withColumn("cap", F.lit(most) * F.col("source_size"))
+    s = sizes.select("*", weight.alias("w")).withColumn("cap", F.lit(most) * F.col("source_size"))
     by_ratio = Window.orderBy(F.col("cap") / F.col("w"), F.col("source").asc_nulls_last())
     whole = Window.partitionBy()
     s = (
@@ -66,16 +66,14 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most:
         by_ratio.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     target = F.when(level.isNull(), F.col("cap").cast("double")).otherwise(F.least(level * F.col("w"), F.col("cap").cast("double")))
-    return s.select("source", "source_size", target.alias("target"))
+    return s.select(*sizes.columns, target.alias("target"))
 
 
 def _edges(base: DataFrame, sources: DataFrame) -> DataFrame:
-    """(source, low, high, before) for each source with a rest: the range of log keys in which its rest is reached, and the words
+    """(source, low, high, n, rest, before) for each source with a rest: the range of log keys in which its rest is reached, and the words
     before it. A source's range is dealt into RANGES parts of equal width, of which the one that reaches the rest is dealt again,
     until it has few rows or a single key; all by sums, so keys of any distribution will do, and no task sees a source's rows."""
-    state = base.groupBy("source").agg(F.min("log_key").alias("low"), F.max("log_key").alias("high"), F.count("*").alias("n"))
-    state = state.join(sources.select(F.col("source").alias("__s"), "rest"), F.col("source").eqNullSafe(F.col("__s"))).drop("__s").where("rest > 0")
-    state = materialize(state.select("source", "low", "high", "n", "rest", F.lit(0).cast("long").alias("before")))
+    state = sources.where("rest > 0").select("source", "low", "high", "n", "rest", F.lit(0).cast("long").alias("before"))
     sorted_by = Window.partitionBy("source").orderBy("range")
     while state.where((F.col("n") > SORTED_ROWS) & (F.col("low") < F.col("high"))).limit(1).count():
         now = few(state, FEW_SOURCES).withColumnRenamed("source", "__s")
@@ -159,7 +157,9 @@ def mixture(
     )
     whole = materialize(keyed.select("*", F.log("key").alias("log_key"), F.monotonically_increasing_id().alias("rid")))
     base = whole.drop("row")
-    per_source = base.groupBy("source").agg(F.sum("size").alias("source_size"))
+    per_source = base.groupBy("source").agg(
+        F.sum("size").alias("source_size"), F.min("log_key").alias("low"), F.max("log_key").alias("high"), F.count("*").alias("n")
+    )
     sources = source_targets(per_source, weights, most_epochs)
     epochs = F.when(F.col("source_size") > 0, F.least(F.lit(most_epochs), F.floor(F.col("target") / F.col("source_size")))).otherwise(0).cast("int")
     sources = sources.withColumn("epochs", epochs)
@@ -168,7 +168,7 @@ def mixture(
     edges = _edges(base, sources)
     cuts = _cuts(base, edges).select(F.col("source").alias("__s"), F.struct("key", "tie", "rid").alias("last"))
     lows = edges.select(F.col("source").alias("__e"), "low")
-    plan = sources.join(lows, F.col("source").eqNullSafe(F.col("__e")), "left").join(cuts, F.col("source").eqNullSafe(F.col("__s")), "left")
+    plan = sources.drop("low").join(lows, F.col("source").eqNullSafe(F.col("__e")), "left").join(cuts, F.col("source").eqNullSafe(F.col("__s")), "left")
     plan = materialize(plan.select(F.col("source").alias("__source"), "source_size", "target", "epochs", "low", "last"))
     # A document's part follows from its key and its source's row alone: no shuffle of documents.
     extra = F.coalesce(F.col("log_key") < F.col("low"), F.lit(False)) | F.coalesce(F.struct("key", "tie", "rid") <= F.col("last"), F.lit(False))
