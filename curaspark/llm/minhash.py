@@ -23,6 +23,8 @@ ROUNDS = 3
 SIGNED = 1 << 12
 #: Shingles after which a task sends a batch on.
 SENT = 1 << 18
+#: Shingles of the documents in a block, on average, where members of a bucket are compared with all others.
+BLOCK = 100_000
 #: Tables of row ids are broadcast up to so many rows; beyond that the texts are shuffled.
 FEW_ROWS = 1_000_000
 
@@ -170,17 +172,47 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", (F.col("same") / (F.col("all") - F.col("same"))).alias("similarity"))
 
 
-def _rest(members: DataFrame, sets: DataFrame, tested: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) between components that share a bucket (members: bucket, rid, n, root) and haven't been tested.
+def _block_comparer(threshold: float):
+    def compare(table: pa.Table) -> pa.Table:
+        """Links between the left documents of a block pair and right ones of other components, one for each such component.
+
+        Overlaps come from an index of the right documents' tokens, a left document at a time; no pair is sent on but links.
+        """
+        table = table.combine_chunks()
+        left = table.column("is_left").to_numpy(zero_copy_only=False).astype(bool)
+        rids, roots = table.column("rid").to_numpy(), table.column("root").to_numpy()
+        sets = table.column("tokens").combine_chunks()
+        ends, values = sets.offsets.to_numpy(), sets.values.to_numpy()
+        size = np.diff(ends)
+        i, j = np.flatnonzero(left), np.flatnonzero(~left)
+        owner = np.repeat(np.arange(len(j)), size[j])
+        token = np.concatenate([values[ends[k] : ends[k + 1]] for k in j]) if len(j) else values[:0]
+        order = np.argsort(token, kind="stable")
+        token, owner = token[order], owner[order]
+        out: tuple[list, list] = ([], [])
+        for k in i:
+            mine = values[ends[k] : ends[k + 1]]
+            low, high = np.searchsorted(token, mine, "left"), np.searchsorted(token, mine, "right")
+            at, nth = _counted(high - low)
+            both = np.bincount(owner[low[at] + nth], minlength=len(j))
+            near = np.flatnonzero((both / np.maximum(size[k] + size[j] - both, 1) >= threshold) & (roots[j] != roots[k]))
+            _, first = np.unique(roots[j][near], return_index=True)
+            out[0].extend([rids[k]] * len(first))
+            out[1].extend(rids[j][near[first]])
+        return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64())})
+
+    return compare
+
+
+def _rest(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between components that share a bucket (members: bucket, rid, n, root).
 
     Two sets that are similar enough share one of the rarest tokens of each (prefix filter): a set of n tokens is told by its
-    n - ceil(threshold * n) + 1 rarest. In each bucket, documents outside its largest component are joined with those of other
-    components by these tokens, of which those that a single component has join nothing. So what is compared follows from
-    what is alike; a bucket of dissimilar documents, however large, gives no pairs.
+    n - ceil(threshold * n) + 1 rarest. Only documents with such a token that another component in their bucket has, too, go on:
+    none of a bucket of dissimilar documents, however large. Of those, the ones outside a bucket's largest component are
+    compared with all others there, block by block.
     """
-    parts = members.groupBy("bucket", "root").agg(F.count("*").alias("docs"))
-    big = parts.groupBy("bucket").agg(F.max(F.struct("docs", "root"))["root"].alias("big"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
-    members = materialize(members.join(big, "bucket"))
+    members = members.select("bucket", "rid", "n", "root")
     there = sets.join(few(members.select("rid").distinct(), FEW_ROWS), "rid", "left_semi")
     tokens = there.select("rid", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
     rows = tokens.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1")
@@ -190,11 +222,24 @@ def _rest(members: DataFrame, sets: DataFrame, tested: DataFrame, threshold: flo
     rare = ranked.select("rid", F.explode(F.slice("found", F.lit(1), F.greatest(prefix, F.lit(0)).cast("int"))["token"]).alias("token"))
     placed = materialize(members.join(rare, "rid"))
     several = placed.groupBy("bucket", "token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("bucket", "token")
-    placed = materialize(placed.join(several, ["bucket", "token"], "left_semi"))
-    other = placed.select("bucket", "token", F.col("rid").alias("other"), F.col("n").alias("m"), F.col("root").alias("its"))
-    met = placed.where("root <> big").join(other, ["bucket", "token"]).where((F.col("root") != F.col("its")) & _alike(F.col("n"), F.col("m"), threshold))
-    pairs = met.select(F.least("rid", "other").alias("a"), F.greatest("rid", "other").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
-    return _compared(pairs, sets).where(F.col("similarity") >= threshold).select("a", "b")
+    members = materialize(placed.join(several, ["bucket", "token"], "left_semi").select("bucket", "rid", "n", "root").distinct())
+    parts = members.groupBy("bucket", "root").agg(F.sum("n").alias("tokens"))
+    buckets = parts.groupBy("bucket").agg(F.max(F.struct("tokens", "root")).alias("big"), F.sum("tokens").alias("tokens"))
+    buckets = buckets.select(
+        "bucket",
+        F.col("big.root").alias("big"),
+        F.ceil((F.col("tokens") - F.col("big.tokens")) / BLOCK).cast("int").alias("lefts"),
+        F.ceil(F.col("tokens") / BLOCK).cast("int").alias("rights"),
+    )
+    dealt = members.join(materialize(buckets.where("lefts > 0")), "bucket")
+
+    def tasks(side: DataFrame, own: str, other: str, left: bool) -> DataFrame:
+        block = F.pmod(F.xxhash64("rid", F.lit(3 if left else 5)), F.col(own)).cast("int").alias("i" if left else "j")
+        each = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias("j" if left else "i")
+        return side.select("bucket", block, each, F.lit(left).alias("is_left"), "rid", "root").select("bucket", "i", "j", "is_left", "rid", "root")
+
+    both = tasks(dealt.where("root <> big"), "lefts", "rights", True).union(tasks(dealt, "rights", "lefts", False))
+    return both.join(sets, "rid").groupBy("bucket", "i", "j").applyInArrow(_block_comparer(threshold), "a long, b long")
 
 
 def links(docs: DataFrame, *, width: int = WIDTH, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
@@ -204,8 +249,8 @@ def links(docs: DataFrame, *, width: int = WIDTH, threshold: float = THRESHOLD,
     Rows of the same words are one class and go on as one representative. In each bucket of the banded signatures, members are
     compared with one of them, which is then done with there, and by rounds with another one, unless they are in its component
     already: as many pairs as members, never all. A bucket of at most ROUNDS + 1 members is wholly compared so. What then is
-    still in several components is joined by rare shingles (see _rest()), so that no link which a shared bucket shows is lost; a large
-    group of copies is mostly one component by then. All comparisons are of hashed shingles, which are made once for the documents
+    still in several components and shares rare shingles is compared block by block (see _rest()), so that no link which a shared bucket
+    shows is lost; a large group of copies is mostly one component by then, as the likely original is compared first. All comparisons are of hashed shingles, which are made once for the documents
     that share a bucket.
     """
     texts = docs.select("__rid", "text")
@@ -216,14 +261,17 @@ def links(docs: DataFrame, *, width: int = WIDTH, threshold: float = THRESHOLD,
     members = members.select("rid", F.coalesce("representative", "rid").alias("representative"))
 
     placed = classes.select(F.col("representative").alias("rid"), "n", F.explode("bands").alias("bucket"))
-    several = placed.groupBy("bucket").agg(F.count("*").alias("rows")).where("rows > 1").select("bucket")
-    placed = materialize(placed.join(several, "bucket", "left_semi").withColumn("root", F.col("rid")))
+    several = placed.groupBy("bucket").agg(F.count("*").alias("rows")).where("rows > 1")
+    placed = materialize(placed.join(several, "bucket").withColumn("root", F.col("rid")))
+    # A document that shares its buckets with many is likely what they were made from: it comes first in each of them.
+    central = placed.groupBy("rid").agg(F.sum("rows").alias("central"))
+    placed = materialize(placed.drop("rows").join(central, "rid"))
     needed = materialize(placed.select(F.col("rid").alias("__rid")).distinct())
     sets = materialize(texts.join(few(needed, FEW_ROWS), "__rid", "left_semi").mapInArrow(_tokeniser(width), "rid long, tokens array<long>"))
 
     tested, found = None, None
     for k in range(ROUNDS):
-        first = placed.groupBy("bucket").agg(F.min_by(F.struct("rid", "root", "n"), F.xxhash64("rid", F.lit(k))).alias("first"))
+        first = placed.groupBy("bucket").agg(F.max_by(F.struct("rid", "root", "n"), F.struct("central", F.xxhash64("rid", F.lit(k)))).alias("first"))
         # The first of a bucket has been compared with all others there, and is done with.
         placed = materialize(placed.join(first, "bucket").where(F.col("rid") != F.col("first.rid")))
         pairs = placed.where((F.col("root") != F.col("first.root")) & _alike(F.col("n"), F.col("first.n"), threshold))
@@ -234,15 +282,15 @@ def links(docs: DataFrame, *, width: int = WIDTH, threshold: float = THRESHOLD,
         tested = compared.select("a", "b") if tested is None else tested.union(compared.select("a", "b"))
         near = compared.where(F.col("similarity") >= threshold).select("a", "b")
         found = near if found is None else found.union(near)
-        placed = _rooted(placed.select("bucket", "rid", "n"), found)
-    return members, found.union(_rest(placed, sets, tested, threshold))
+        placed = _rooted(placed.select("bucket", "rid", "n", "central"), found)
+    return members, found.union(_rest(placed, sets, threshold))
 
 
 def _rooted(placed: DataFrame, found: DataFrame) -> DataFrame:
-    """(bucket, rid, n, root) of the buckets that still hold several components."""
+    """(bucket, rid, n, central, root) of the buckets that still hold several components."""
     placed = placed.join(components(found).withColumnRenamed("node", "rid"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))
     several = placed.groupBy("bucket").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("bucket")
-    return materialize(placed.join(several, "bucket", "left_semi").select("bucket", "rid", "n", "root"))
+    return materialize(placed.join(several, "bucket", "left_semi").select("bucket", "rid", "n", "central", "root"))
 
 
 def classes(docs: DataFrame, *, keep_text: bool = True, **options) -> DataFrame:
