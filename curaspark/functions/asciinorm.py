@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,14 +63,40 @@ def punctuation(c: Column) -> Column:
     return c
 
 
+def _let(c: Column, f: Callable[[Column], Column]) -> Column:
+    """f(c) with c evaluated once, however often f names it."""
+    return F.get(F.transform(F.array(c), f), F.lit(0))
+
+
+def beyond_ascii(c: Column) -> Column:
+    """Whether c has a character of more than one byte."""
+    return F.octet_length(c) > F.length(c)
+
+
+def _single_spaced(c: Column) -> Column:
+    return F.when(c.contains("  "), F.regexp_replace(c, "  +", " ")).otherwise(c)
+
+
 def rules(c: Column) -> Column:
-    """The native part of normalisation, for text that is NFKC already."""
-    return punctuation(degrees(scripts(greek(c))))
+    """The native part of normalisation, for text that is NFKC already. Steps that can change nothing are left out, row by row: in pure
+    ASCII only runs of spaces change, and letters and degrees cost their patterns only where there are any."""
+
+    def letters(x: Column) -> Column:
+        return F.when(x.rlike(f"[{''.join(GREEK)}]"), greek(x)).otherwise(x)
+
+    def degreed(x: Column) -> Column:
+        return F.when(x.contains("°"), degrees(x)).otherwise(_single_spaced(x))
+
+    def whole(x: Column) -> Column:
+        return F.when(beyond_ascii(x), punctuation(_let(scripts(letters(x)), degreed))).otherwise(_single_spaced(x))
+
+    return _let(c, whole)
 
 
 def normalise(c: Column) -> Column:
-    """NFKC, then the rules; null stays null. Other characters beyond ASCII stay and are reported by residual()."""
-    return rules(nfkc(c))
+    """NFKC, then the rules; null stays null. Other characters beyond ASCII stay and are reported by residual(). Only texts that have
+    any go to Python for NFKC."""
+    return rules(F.coalesce(nfkc(F.when(beyond_ascii(c), c)), c))
 
 
 def residual(df: DataFrame, column: str) -> DataFrame:

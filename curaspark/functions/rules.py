@@ -27,9 +27,23 @@ def alternation(words: Sequence[str], whole: bool = False) -> str:
     return f"(?iuU)\\b({joined})\\b" if whole else f"(?iuU){joined}"
 
 
+#: What a text with a banned token has once its case is folded: parts that are words of their own there, and parts that need not be.
+_BANNED_PARTS = ("c50", "emax", "mpe", "d50", "according to", "published procedure")
+_BANNED_SHORT = r"(?U)\bp?k[id]\b"
+
+
 def banned_token(c: Column) -> Column:
-    """The first banned token in c, as written there; null without one."""
-    return F.nullif(F.regexp_extract(c, alternation(BANNED), 0), F.lit(""))
+    """The first banned token in c, as written there; null without one. The full pattern is tried only on texts that can have one."""
+
+    def could(low: Column) -> Column:
+        hit = low.rlike(_BANNED_SHORT)
+        for part in _BANNED_PARTS:
+            hit = hit | low.contains(part)
+        return hit
+
+    # Upper, then lower case: the folding of case-insensitive patterns.
+    hit = F.get(F.transform(F.array(F.lower(F.upper(c))), could), F.lit(0))
+    return F.when(hit, F.nullif(F.regexp_extract(c, alternation(BANNED), 0), F.lit("")))
 
 
 def in_vivo(c: Column) -> Column:
@@ -52,6 +66,7 @@ def violation(c: Column) -> Column:
     """The message of the first rule that c breaks, else null: empty, banned token, markup, response phrase."""
     token, vivo, dose, conc = banned_token(c), in_vivo(c), _has(c, "dose"), _has(c, "concentration")
     head = F.regexp_replace(c, r"(?U)^[\s\x1c-\x1f]+", "")
+    # The messages.
     return (
         F.when(c.isNull() | (head == ""), F.lit("empty description"))
         .when(token.isNotNull(), F.concat(F.lit("banned token present: "), quoted(token)))

@@ -131,6 +131,28 @@ def stored(keys: DataFrame, key: str, path: str, fetch: Fetcher, fields: Sequenc
     return spark.read.schema(schema).parquet(path)
 
 
+def discard_store(keys: DataFrame, path: str) -> None:
+    """Delete the store of stored(), once what was made of it is written."""
+    at = keys.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(keys.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+#: What a service's release is told by, and the message where it can't be had.
+RELEASE = ("chembl_db_version", "chembl_release_date", "api_version")
+NO_RELEASE = "Could not retrieve ChEMBL status: {}"
+
+
+def service_status(ask: Callable[[], object], fields: Sequence[str] = RELEASE, failed: str = NO_RELEASE) -> dict:
+    """The fields of a service's status (ask() gives it, or a list that begins with it), null where it lacks one; a failure is recorded
+    as data, for it must not end a run whose results are there."""
+    try:
+        answer = ask()
+        first = answer[0] if isinstance(answer, list) else answer
+        return {f: first.get(f) for f in fields}
+    except Exception as e:
+        return {"error": failed.format(e)}
+
+
 def lookup(df: DataFrame, key: str, dim: DataFrame, fields: Sequence[str], *, status: str, found: str, missing: str, no_key: str, limit: int = FEW_ROWS) -> DataFrame:
     """df with the fields of a snapshot table, and a status: found, missing, or no_key for a null key. A later lookup on a field
     that this one brings (chained) sees null keys where nothing was found."""

@@ -60,25 +60,58 @@ def _order_struct(ties: Sequence[Column]) -> list[Column]:
     return out
 
 
-def two_paths(df: DataFrame, keys: Sequence[str], paths: Sequence[Path], ties: Sequence[Column], *, keep: str = "keep") -> DataFrame:
+#: Rows of a group from which strategy `auto` takes partial aggregates instead of a window.
+LARGE_GROUP = 1_000_000
+
+
+def _joined(df: DataFrame, keys: Sequence[str], groups: DataFrame) -> DataFrame:
+    """df with the columns of groups (one row for each value of keys, nulls among them)."""
+    values = [c for c in groups.columns if c not in keys]
+    named = groups.select(*[quoted(k).alias(f"__k{i}") for i, k in enumerate(keys)], *values)
+    on = F.lit(True)
+    for i, k in enumerate(keys):
+        on = on & quoted(k).eqNullSafe(F.col(f"__k{i}"))
+    return df.join(named, on).drop(*[f"__k{i}" for i in range(len(keys))])
+
+
+def chosen(df: DataFrame, keys: Sequence[str], strategy: str) -> str:
+    """The strategy itself, or for `auto` the one that fits the largest group, as counted."""
+    if strategy != "auto":
+        return strategy
+    largest = df.groupBy(*_keys(keys)).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    return "aggregate" if largest >= LARGE_GROUP else "window"
+
+
+def two_paths(df: DataFrame, keys: Sequence[str], paths: Sequence[Path], ties: Sequence[Column], *, keep: str = "keep", strategy: str = "window") -> DataFrame:
     """df with member and kept flags of each path (`<name>_member`, `<name>_kept`) and keep.
 
     Within each path, one row of each group is kept as of medoids(). A row stays if any path keeps it, or if it is on none. All
-    paths share the grouping, so there is one exchange.
+    paths share the grouping, so there is one exchange with strategy `window`, which holds a group in one task. `aggregate` takes
+    medians and nearest rows by partial aggregates and joins both back, for groups that are a large part of the rows; `auto` counts
+    the largest group and chooses. With those two, ties are plain columns, ascending with nulls last, that end in a position.
     """
-    w = Window.partitionBy(*_keys(keys))
     for p in paths:
         df = df.withColumn(f"{p.name}_member", p.member).withColumn(f"__{p.name}", F.when(p.member, p.value.cast("double")))
-    for p in paths:
-        df = df.withColumn(f"__{p.name}_m", F.median(f"__{p.name}").over(w))
-    for p in paths:
-        off = F.abs(F.col(f"__{p.name}") - F.col(f"__{p.name}_m"))
-        first = F.row_number().over(w.orderBy(~F.col(f"{p.name}_member"), off, *ties))
-        df = df.withColumn(f"{p.name}_kept", F.col(f"{p.name}_member") & (first == 1))
+    off = {p.name: F.abs(F.col(f"__{p.name}") - F.col(f"__{p.name}_m")) for p in paths}
+    if chosen(df, keys, strategy) == "aggregate":
+        df = _joined(df, keys, df.groupBy(*_keys(keys)).agg(*[F.median(f"__{p.name}").alias(f"__{p.name}_m") for p in paths]))
+        for p in paths:
+            df = df.withColumn(f"__{p.name}_o", F.when(F.col(f"{p.name}_member"), F.struct(off[p.name].alias("off"), *_order_struct(ties))))
+        df = _joined(df, keys, df.groupBy(*_keys(keys)).agg(*[F.min(f"__{p.name}_o").alias(f"__{p.name}_b") for p in paths]))
+        for p in paths:
+            df = df.withColumn(f"{p.name}_kept", F.col(f"{p.name}_member") & F.col(f"__{p.name}_o").eqNullSafe(F.col(f"__{p.name}_b")))
+    else:
+        w = Window.partitionBy(*_keys(keys))
+        ties = ties if strategy == "window" else [t.asc_nulls_last() for t in ties]
+        for p in paths:
+            df = df.withColumn(f"__{p.name}_m", F.median(f"__{p.name}").over(w))
+        for p in paths:
+            first = F.row_number().over(w.orderBy(~F.col(f"{p.name}_member"), off[p.name], *ties))
+            df = df.withColumn(f"{p.name}_kept", F.col(f"{p.name}_member") & (first == 1))
     member, kept = F.lit(False), F.lit(False)
     for p in paths:
         member, kept = member | F.col(f"{p.name}_member"), kept | F.col(f"{p.name}_kept")
-    return df.withColumn(keep, ~member | kept).drop(*[f"__{p.name}{s}" for p in paths for s in ("", "_m")])
+    return df.withColumn(keep, ~member | kept).drop(*[f"__{p.name}{s}" for p in paths for s in ("", "_m", "_o", "_b")])
 
 
 def counts(flagged: DataFrame, paths: Sequence[Path], *, keep: str = "keep") -> DataFrame:

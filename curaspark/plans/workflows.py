@@ -31,6 +31,7 @@ class ActivitySettings:
     second_value: str = "Standard Value"
     unit: str = "Standard Units"
     year: str = "Document Year"
+    strategy: str = "auto"
 
 
 @dataclass(frozen=True)
@@ -44,7 +45,8 @@ def aggregate_activities(rows: DataFrame, settings: ActivitySettings = ActivityS
     """One representative row for each group and path; rows on neither path stay. `row` is the position column of rows.
 
     The summary has the labelled counts; its last line takes off rows on both paths twice, and the line after it is the true
-    number of rows on neither path.
+    number of rows on neither path. settings.strategy: `aggregate` for groups that are a large part of the rows, `window`, or `auto`, which
+    counts the largest group first.
     """
     s = settings
     schema.require(rows, [*s.keys, s.first_value, s.second_value, s.unit, s.year])
@@ -52,8 +54,11 @@ def aggregate_activities(rows: DataFrame, settings: ActivitySettings = ActivityS
         representative.Path("first", F.lit(True), quoted(s.first_value)),
         representative.Path("second", quoted(s.unit).isin(*s.units), quoted(s.second_value)),
     )
-    flagged = representative.two_paths(rows, s.keys, paths, [quoted(s.year).asc_nulls_last(), F.col(row)])
+    strategy = representative.chosen(rows, s.keys, s.strategy)
+    year = quoted(s.year).asc_nulls_last() if strategy == "window" else quoted(s.year)
+    flagged = representative.two_paths(rows, s.keys, paths, [year, F.col(row)], strategy=strategy)
     own = [quoted(c) for c in rows.columns]
+    # Labels and texts of the summary.
     lines = [
         ("Original rows", F.col("original_rows")),
         ("Rows removed by aggregation (total)", F.col("removed_rows")),
@@ -92,7 +97,7 @@ class References:
     rows: DataFrame
     breakdown: DataFrame
     unresolved: DataFrame
-    provenance: Callable[[], dict]
+    provenance: Callable[..., dict]
 
 
 def resolve_references(
@@ -107,8 +112,8 @@ def resolve_references(
 ) -> References:
     """rows with the fields of the documents that they name and a primary reference; as many rows, in the same order by `row`.
 
-    records is a snapshot of documents, or what enrich.fetched() has brought under enrich.DOCUMENTS. provenance() runs the
-    counts and gives the fields of the provenance file.
+    records is a snapshot of documents, or what enrich.fetched() has brought under enrich.DOCUMENTS. provenance(input_file=,
+    output_file=, status=) runs the counts and gives the fields of the provenance file; status: see enrich.service_status().
     """
     if unknown := [f for f in order if f not in cascade.ORDER]:
         raise ValueError(f"no identifiers: {unknown}")
@@ -120,13 +125,16 @@ def resolve_references(
     unresolved = dedup.unmatched(ids, records.select(quoted(key).cast("string").alias("id")), "id")
     breakdown = cascade.breakdown(out, "reference_type", [*order, "unresolved"])
 
-    def provenance() -> dict:
+    def provenance(*, input_file: str | None = None, output_file: str | None = None, status: dict | None = None) -> dict:
         n_in, n_ids, n_none = rows.count(), ids.count(), unresolved.count()
         if not n_ids:
             raise ValueError(f"no document ids in {column!r}")
         counts = {r["category"]: r["n"] for r in breakdown.collect()}
         stamp = rows.sparkSession.range(1).select(text.utc_stamp()).first()[0]
+        # The keys.
         return {
+            "input_file": input_file,
+            "output_file": output_file,
             "id_column": column,
             "precedence_order": list(order),
             "fields_retrieved": fields,
@@ -139,6 +147,7 @@ def resolve_references(
             "document_ids_with_no_record": n_none,
             "reference_type_counts": {k: v for k, v in counts.items() if v},
             "retrieval_timestamp_utc": stamp,
+            "chembl_status": status,
         }
 
     return References(out, breakdown, unresolved, provenance)
@@ -285,6 +294,12 @@ def describe(rows: DataFrame, generated: DataFrame, s: DescriptionSettings = Des
     return Descriptions(debug.drop("_raw_model_output"), errors.where("error IS NOT NULL"), debug)
 
 
+def write_and_finish(rows: DataFrame, d: Descriptions, write_debug: Callable[[DataFrame], None], s: DescriptionSettings = DescriptionSettings(), *, row: str = ROW) -> DataFrame:
+    """finish(), with the debug table written before any check can end the run."""
+    write_debug(d.debug)
+    return finish(rows, d, s, row=row)
+
+
 def finish(rows: DataFrame, d: Descriptions, s: DescriptionSettings = DescriptionSettings(), *, row: str = ROW) -> DataFrame:
     """d.rows, if it passes: in production no rule may be broken; in either mode every row has its description, and rows of one
     (protocol, protein) the same one."""
@@ -310,7 +325,7 @@ def to_ascii(rows: DataFrame, column: str = "assay_description", output: str | N
     one row of counts (rows, changed)."""
     schema.require(rows, [column])
     output = output or f"{column}_ascii_compliant"
-    # One evaluation of the Python function for both the rows and the counts.
+    # Rows, residual and counts are frames of their own: each that is used runs the normalisation.
     both = rows.withColumn("__new", asciinorm.normalise(quoted(column)))
     counts = both.agg(F.count("*").alias("rows"), asciinorm.changed(quoted(column), F.col("__new")).alias("changed"))
     out = schema.renamed_in_place(both, column, output, F.col("__new")).drop("__new")

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from . import xlsx
 
 #: Takes an image's bytes, gives the HTML of each table in it.
 Recogniser = Callable[[bytes], list[str]]
@@ -74,10 +76,25 @@ def grid(html: str) -> list[list[str]]:
 
 
 def cells(tables: DataFrame) -> DataFrame:
-    """(path, row, cells) of (path, html): one row for each table row, its cells an array."""
-
-    @F.udf("array<array<string>>")
-    def parsed(html):
-        return grid(html) if html is not None else []
+    """(path, row, cells) of (path, html): one row for each table row, its cells an array. A null html has no rows."""
 
-    return tables.select("path", F.posexplode(parsed("html")).alias("row", "cells"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [(p, i, r) for p, html in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if html is not None for i, r in enumerate(grid(html))]
+            columns = zip(*rows) if rows else ((), (), ())
+            types = (pa.string(), pa.int32(), pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["path", "row", "cells"])
+
+    return tables.select("path", "html").mapInArrow(run, "path string, row int, cells array<string>")
+
+
+def save(spark: SparkSession, html: str, stem: str | Path) -> tuple[Path, Path]:
+    """One recognised table beside its image: its HTML as it is, and a workbook of its cells (stem + .html and .xlsx)."""
+    page, book = (Path(f"{stem}{e}") for e in (".html", ".xlsx"))
+    page.write_text(html, encoding="utf-8")
+    rows = grid(html)
+    names = [f"c{i}" for i in range(max(map(len, rows), default=0))] or ["c0"]
+    schema = ", ".join(f"{n} string" for n in ["n", *names]).replace("n string", "n int", 1)
+    table = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], schema).orderBy("n").drop("n")
+    xlsx.write(str(book), [("Table", table)])
+    return page, book

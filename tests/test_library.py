@@ -441,7 +441,7 @@ def test_csv_forms(spark, tmp_path):
 
 
 def test_finding_files(tmp_path):
-    with pytest.raises(FileNotFoundError, match="No CSV"):
+    with pytest.raises(FileNotFoundError, match="data files in .*: none"):
         files.find_input(tmp_path, stem="in")
     for n in ("in.csv", "in.tsv", "b.csv"):
         (tmp_path / n).write_text("x")
@@ -453,7 +453,7 @@ def test_finding_files(tmp_path):
         files.require_file(tmp_path / "b.csv", [".xlsx"])
     for i in range(25):
         (tmp_path / f"z{i:02}.csv").write_text("x")
-    assert "... and 8 more" in files.available(tmp_path)
+    assert "(and 8 others)" in files.available(tmp_path)
     p = files.write_provenance(tmp_path / "out.xlsx", {"n": 1})
     assert p.name == "out.xlsx.provenance.json" and json.loads(p.read_text()) == {"n": 1}
 
