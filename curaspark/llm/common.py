@@ -12,6 +12,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread as spread
+
 #: Used only where a local master's session names no spark.checkpoint.dir, as in tests on one machine.
 DEFAULT_SCRATCH = "file:/tmp/checkpoints/curaspark"
 
@@ -101,16 +103,6 @@ def with_rid(df: DataFrame, name: str = "__rid") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """df (files under projections) dealt anew over the cores, if it has few splits of which one or a few hold the rows, as files of one
-    row group have; a table of more splits than four for each core is left alone, so what is shuffled is small."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if cores < 2 or df._jdf.queryExecution().toRdd().getNumPartitions() > 4 * cores:
-        return df
-    rows = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]  # at most four for each core
-    return df.repartition(cores) if rows and max(rows) * cores > 3 * sum(rows) else df
-
-
 def few(df: DataFrame, limit: int) -> DataFrame:
     """df with a broadcast hint if it has at most `limit` rows by count, else as it is, for a shuffled join."""
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

@@ -56,11 +56,16 @@ def within_one(a: list[bytes], b: list[bytes]) -> bool:
     return a[i + (len(a) == len(b)) :] == b[i + 1 :]
 
 
-def within_fifth(a: list[bytes], b: list[bytes]) -> bool:
-    """Whether the edit distance of two word lists is at most a fifth of the longer."""
+def bound(n: int, edits: int | None) -> int:
+    """Edits that a line may be away from one of n words, n the longer: a fifth of them, and no more than `edits`."""
+    return n // WORDS_PER_EDIT if edits is None else min(edits, n // WORDS_PER_EDIT)
+
+
+def within(a: list[bytes], b: list[bytes], edits: int | None = None) -> bool:
+    """Whether the edit distance of two word lists is within the bound()."""
     if len(a) > len(b):
         a, b = b, a
-    most = len(b) // WORDS_PER_EDIT
+    most = bound(len(b), edits)
     if len(b) - len(a) > most:
         return False
     row = {j: j for j in range(min(most, len(b)) + 1)}
@@ -170,11 +175,14 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=[*_ORDER, "n", "at", "run"])
 
 
-def _verifier(within):
+def _verifier(edits: int | None):
+    def near(a: list[bytes], b: list[bytes]) -> bool:
+        return within_one(a, b) if edits == 1 else within(a, b, edits)
+
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = (batch.column(c).to_pylist() for c in ("words", "other"))
-            ok = pa.array([within(x.split(), y.split()) for x, y in zip(a, b)], pa.bool_())
+            ok = pa.array([near(x.split(), y.split()) for x, y in zip(a, b)], pa.bool_())
             yield batch.select(_ORDER).filter(ok)
 
     return verify
@@ -203,25 +211,26 @@ def _with_lines(docs: DataFrame, columns: list[str], lines: DataFrame, how: str)
     return data.mapInArrow(_packer(columns), data.schema).join(lines, "__rid", how), True
 
 
-def _met_by_runs(near: DataFrame, id_type: str) -> DataFrame:
-    """Places of lines and of earlier ones that may be within a fifth: all pairs that are, where the longer has two edits or more.
+def _met_by_runs(near: DataFrame, id_type: str, edits: int | None) -> DataFrame:
+    """Places of lines and of earlier ones that may be within the bound: all pairs that are, where the longer has two edits or more.
 
     An edit changes at most RUN runs of a line, so lines within k edits share one of the k * RUN + 1 rarest runs of both, in
     places at most k apart. A line of n words is within a fifth only of lines of at most n / 0.8 words, so k is at most n / 4.
     """
+    limit = F.lit(1 << 30 if edits is None else edits)
     place = F.struct(*_ORDER)
     runs = materialize(near.mapInArrow(_runs, f"doc_id {id_type}, rid long, line int, n int, at int, run long"))
     counts = runs.groupBy("run").agg(F.count("*").alias("rows"))
     ranked = runs.join(counts, "run").withColumn("rank", F.row_number().over(Window.partitionBy(*_ORDER).orderBy("rows", "run", "at")))
-    rare = ranked.where((F.col("rank") <= RUN * F.floor(F.col("n") / (WORDS_PER_EDIT - 1)) + 1) & (F.col("rows") > 1))
+    rare = ranked.where((F.col("rank") <= RUN * F.least(limit, F.floor(F.col("n") / (WORDS_PER_EDIT - 1))) + 1) & (F.col("rows") > 1))
     rare = materialize(rare.select(place.alias("me"), "n", "at", "run"))
     earlier = rare.select(F.col("me").alias("other"), F.col("n").alias("m"), F.col("at").alias("there"), "run")
-    most = F.floor(F.greatest("n", "m") / WORDS_PER_EDIT)
+    most = F.least(limit, F.floor(F.greatest("n", "m") / WORDS_PER_EDIT))
     close = (F.col("other") < F.col("me")) & (most > 1) & (F.abs(F.col("n") - F.col("m")) <= most) & (F.abs(F.col("at") - F.col("there")) <= most)
     return rare.join(earlier, "run").where(close).select("me.*", "other").distinct()
 
 
-def repeated_lines(docs: DataFrame, *, growing: bool = False) -> DataFrame:
+def repeated_lines(docs: DataFrame, *, edits: int | None = 1) -> DataFrame:
     """(__rid, lines): the numbers of the lines to be removed from each row of docs (with __rid, doc_id, text) that has any."""
     place = F.struct(*_ORDER)
     id_type = docs.schema["doc_id"].dataType.simpleString()
@@ -232,7 +241,7 @@ def repeated_lines(docs: DataFrame, *, growing: bool = False) -> DataFrame:
     placed = lines.where(F.size("halves") > 0).select("h1", F.explode("halves").alias("half"))
     shared = placed.groupBy("half").agg(F.min("h1").alias("x"), F.max("h1").alias("y")).where("x <> y").select("half")
     wanted = placed.join(shared, "half", "left_semi").select("h1").distinct()
-    if growing:
+    if edits != 1:
         # A line of fewer words is not within two edits of one that is long enough for them.
         wanted = wanted.union(lines.where(F.col("n") >= 2 * (WORDS_PER_EDIT - 1)).select("h1")).distinct()
     wanted = lines.join(wanted, "h1", "left_semi").groupBy("h1", "h2").agg(F.min(place).alias("first")).select("first.*")
@@ -247,10 +256,10 @@ def repeated_lines(docs: DataFrame, *, growing: bool = False) -> DataFrame:
     other = F.when(F.col("own"), F.col("least")).otherwise(F.coalesce("whole", "least"))
     met = keys.join(groups, "key").select(*_ORDER, other.alias("other")).where(F.col("other") < place).distinct()
     others = near.select(place.alias("other"), F.col("words").alias("other_words"))
-    if growing:
-        met = met.union(_met_by_runs(near, id_type)).distinct()
+    if edits != 1:
+        met = met.union(_met_by_runs(near, id_type, edits)).distinct()
     pairs = met.join(near.withColumn("me", place).select("me", "words"), place == F.col("me")).join(others, "other")
-    verify = _verifier(within_fifth if growing else within_one)
+    verify = _verifier(edits)
     later = pairs.select(*_ORDER, "words", F.col("other_words").alias("other")).mapInArrow(verify, f"doc_id {id_type}, rid long, line int")
     later = later.distinct().select(place.alias("first"), F.lit(True).alias("near"))
     # Equal lines go but for the first; all of them go if an earlier line is near.
@@ -261,21 +270,22 @@ def repeated_lines(docs: DataFrame, *, growing: bool = False) -> DataFrame:
     return materialize(gone.groupBy(F.col("rid").alias("__rid")).agg(F.array_sort(F.collect_list("line")).alias("lines")))
 
 
-def find(docs: DataFrame, *, growing: bool = False) -> DataFrame:
+def find(docs: DataFrame, *, edits: int | None = 1) -> DataFrame:
     """docs with n_lines (lines of the text, null: 0) and removed, the numbers (from 0) of the lines that go: those that an earlier
     line of the corpus equals or is within one edit of.
 
     Lines end with a line feed and are compared by their lower-cased words; lines without words stay and match nothing. An edit
-    puts in, takes out or replaces a word; it counts for lines of which the longer has five words or more. One edit is the
-    bound whatever the length, as in the query's SQL: near-copies of long lines with two or more changed words stay (a line of
-    50 words must be 98% equal). With `growing`, the bound is a fifth of the longer line's words, rounded down, for all lines;
-    no pair is missed, and runs of words that very many lines share make work that grows with the square of their number.
+    puts in, takes out or replaces a word. The bound is `edits` of them, but at most a fifth of the longer line's words, rounded down
+    (None: just that fifth). One edit, as in the query's SQL, is found by keys of deletion variants alone, of which lines that share
+    one are near each other, so a key that very many lines share costs no pairs; near-copies of long lines with two or more changed
+    words stay then. Further edits are found by rare runs of words; no pair is missed, but runs that very many lines share make
+    work that grows with the square of their number.
 
     Earlier is by doc_id (null first), then row, then line. A line goes even if the earlier one goes itself. Rows that repeat are
     later copies. An empty table gives no rows; columns named like those added are replaced.
     """
     docs = with_rid(without(repeatable(docs), ["n_lines", "removed"]))
-    gone = repeated_lines(docs, growing=growing)
+    gone = repeated_lines(docs, edits=edits)
     n = F.when(F.col("text").isNull(), 0).otherwise(F.regexp_count("text", F.lit("\n")) + 1)
     none = F.array().cast("array<int>")
     return docs.withColumn("n_lines", n).join(gone, "__rid", "left").withColumn("removed", F.coalesce("lines", none)).drop("__rid", "lines")
@@ -300,11 +310,11 @@ def _cutter(squeezed: bool):
     return cut
 
 
-def deduplicate(docs: DataFrame, *, growing: bool = False) -> DataFrame:
-    """docs without the lines that find() names (growing as there), and n_chars counted anew if docs has it; a document that loses lines and has no
+def deduplicate(docs: DataFrame, *, edits: int | None = 1) -> DataFrame:
+    """docs without the lines that find() names (edits as there), and n_chars counted anew if docs has it; a document that loses lines and has no
     words left goes."""
     docs = with_rid(without(repeatable(docs), ["lines"]))
-    gone = repeated_lines(docs, growing=growing)
+    gone = repeated_lines(docs, edits=edits)
     names = [c for c in docs.columns if c not in ("__rid", "text")]
     data, squeezed = _with_lines(docs, ["__rid", *names], gone, "left")
     out = data.select(*names, "text", "lines").mapInArrow(_cutter(squeezed), docs.select(*names, "text").schema)

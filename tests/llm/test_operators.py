@@ -499,7 +499,8 @@ def test_line_dedup_against_brute_force(spark, monkeypatch, limit):
         assert cleaned.get(d) == (left if not gone[d] or common.words(left.encode()) else None)
 
 
-def test_growing_bound_against_brute_force(spark):
+@pytest.mark.parametrize("edits", [2, 3, None])
+def test_growing_bound_against_brute_force(spark, edits):
     rng = random.Random(7)
     vocab = [f"w{i}" for i in range(40)]
     base = [[rng.choice(vocab) for _ in range(rng.choice([4, 7, 9, 10, 11, 16, 31, 50]))] for _ in range(40)]
@@ -512,11 +513,11 @@ def test_growing_bound_against_brute_force(spark):
             w = w or ["w0"]
         ls.append(w)
     rows = [(i, " ".join(w)) for i, w in enumerate(ls)]
-    want = {i: [0] if any(edit(w, s) <= max(len(w), len(s)) // 5 for s in ls[:i]) else [] for i, w in enumerate(ls)}
+    want = {i: [0] if any(edit(w, s) <= min(max(len(w), len(s)) // 5, 99 if edits is None else edits) for s in ls[:i]) else [] for i, w in enumerate(ls)}
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    got = {r["doc_id"]: r["removed"] for r in lines.find(docs, growing=True).collect()}
+    got = {r["doc_id"]: r["removed"] for r in lines.find(docs, edits=edits).collect()}
     assert got == want and want != dict(brute_lines(rows))
-    assert {r["doc_id"] for r in lines.deduplicate(docs, growing=True).collect()} == {i for i, g in want.items() if not g}
+    assert {r["doc_id"] for r in lines.deduplicate(docs, edits=edits).collect()} == {i for i, g in want.items() if not g}
 
 
 def test_line_dedup_odd_rows(odd, empty):
