@@ -15,7 +15,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 MOST_EPOCHS = 3
 #: Ranges into which a source's keys are dealt at once, and rows of a source that are sorted together at most (but for equal keys,
 #: which are counted first).
-RANGES, SORTED_ROWS = 1_000, 20_000
+RANGES, SORTED_ROWS = 1_000, 2_000
 #: Source tables up to this many rows are broadcast.
 FEW_SOURCES = 10_000
 
