@@ -24,7 +24,7 @@ SAMPLE_ROWS, SAMPLE_ALL, SAMPLE_WINDOWS = 1_000, 100_000, 6
 CHUNK = 256
 UNKNOWN = "und"
 #: Score from which keep_known() takes a prediction as told.
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.35
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -257,10 +257,10 @@ def _lettered(text: int):
 
 def keep_known(docs: DataFrame, net: Net | None = None, *, least: float = LEAST_SCORE, **options) -> DataFrame:
     """docs without those whose language can't be told: null texts, texts without a letter, and texts of a score under `least`, to
-    which no language of the net has that share. Where no net is given and nothing could be learned (no row that trains has a
+    which no language of the net has that share (with four languages, chance alone gives one 0.25). Where no net is given and nothing could be learned (no row that trains has a
     lang), every text with a letter stays.
 
-    A score tells texts between the languages, not all that is foreign to them: with two languages none is under 0.5, and a
+    A score tells texts between the languages, not all that is foreign to them: with two languages none is under it, and a
     text in a language that wasn't learned can have a high one.
     """
     if net is None:
