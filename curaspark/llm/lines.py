@@ -237,14 +237,17 @@ def repeated_lines(docs: DataFrame, *, edits: int | None = 1) -> DataFrame:
     lines = materialize(
         spread(docs.select("__rid", "doc_id", "text")).mapInArrow(_lister, f"doc_id {id_type}, rid long, line int, h1 long, h2 long, n int, halves array<long>")
     )
+    # Equal lines are one class, told by the earliest: reduced before anything is joined, so the places of a frequent line never meet.
+    first = F.min(F.struct(*_ORDER, "n", "halves")).alias("first")
+    classes = materialize(lines.groupBy("h1", "h2").agg(first, F.count("*").alias("copies")).select("h1", "h2", "copies", "first.*"))
     # Which distinct lines share a half with another one: only these can be within one edit of anything.
-    placed = lines.where(F.size("halves") > 0).select("h1", F.explode("halves").alias("half"))
+    placed = classes.select("h1", F.explode("halves").alias("half"))
     shared = placed.groupBy("half").agg(F.min("h1").alias("x"), F.max("h1").alias("y")).where("x <> y").select("half")
-    wanted = placed.join(shared, "half", "left_semi").select("h1").distinct()
+    wanted = placed.join(materialize(shared), "half", "left_semi").select("h1").distinct()
     if edits != 1:
         # A line of fewer words is not within two edits of one that is long enough for them.
-        wanted = wanted.union(lines.where(F.col("n") >= 2 * (WORDS_PER_EDIT - 1)).select("h1")).distinct()
-    wanted = lines.join(wanted, "h1", "left_semi").groupBy("h1", "h2").agg(F.min(place).alias("first")).select("first.*")
+        wanted = wanted.union(classes.where(F.col("n") >= 2 * (WORDS_PER_EDIT - 1)).select("h1")).distinct()
+    wanted = classes.join(wanted, "h1", "left_semi")
     wanted = materialize(wanted.groupBy(F.col("rid").alias("__rid"), "doc_id").agg(F.collect_list("line").alias("lines")).drop("doc_id"))
     texts, squeezed = _with_lines(docs, ["__rid", "doc_id"], wanted, "inner")
     near = materialize(texts.select("doc_id", F.col("__rid").alias("rid"), "lines", "text").mapInArrow(_fetcher(squeezed), f"doc_id {id_type}, rid long, line int, words binary"))
@@ -263,8 +266,8 @@ def repeated_lines(docs: DataFrame, *, edits: int | None = 1) -> DataFrame:
     later = pairs.select(*_ORDER, "words", F.col("other_words").alias("other")).mapInArrow(verify, f"doc_id {id_type}, rid long, line int")
     later = later.distinct().select(place.alias("first"), F.lit(True).alias("near"))
     # Equal lines go but for the first; all of them go if an earlier line is near.
-    classes = lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("copies"))
-    affected = materialize(classes.join(later, "first", "left").where("copies > 1 OR near").select("h1", "h2", "first", "near"))
+    classes = classes.select("h1", "h2", "copies", place.alias("first")).join(later, "first", "left")
+    affected = materialize(classes.where("copies > 1 OR near").select("h1", "h2", "first", "near"))
     # Both sides come straight from files, so that the places of a line that very many documents have can be split.
     gone = lines.select("h1", "h2", *_ORDER).join(affected, ["h1", "h2"]).where(F.col("near") | (place != F.col("first")))
     return materialize(gone.groupBy(F.col("rid").alias("__rid")).agg(F.array_sort(F.collect_list("line")).alias("lines")))
