@@ -54,21 +54,26 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
 
 
 def _dealer(centres: np.ndarray, margin: float):
-    """(id, cell, own, unit vector) for each cell that a vector visits."""
+    """(id, copies, cell, home, vector as given) for each cell that a vector visits."""
     dim = centres.shape[1]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 4096):
-                part = batch.slice(start, 4096)
-                x = unit(_matrix(part.column("vector"), dim))
-                dots = x @ centres.T
+            for start in range(0, batch.num_rows, 1024):
+                part = batch.slice(start, 1024)
+                dots = unit(_matrix(part.column("vector"), dim)) @ centres.T
                 home = dots.argmax(axis=1)
                 row, cell = np.nonzero(_near(dots, margin))
-                values = pa.ListArray.from_arrays(np.arange(0, (len(row) + 1) * dim, dim, dtype=np.int32), pa.array(x[row].ravel()))
+                take = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id").take(pa.array(row)), pa.array(cell.astype(np.int32)), pa.array(home[row] == cell), values],
-                    names=["id", "cell", "own", "vector"],
+                    [
+                        part.column("id").take(take),
+                        part.column("copies").take(take),
+                        pa.array(cell.astype(np.int32)),
+                        pa.array(home[row].astype(np.int32)),
+                        part.column("vector").take(take),
+                    ],
+                    names=["id", "copies", "cell", "home", "vector"],
                 )
 
     return deal
@@ -93,9 +98,10 @@ def _comparer(centres: np.ndarray, margin: float, threshold: float):
     def compare(key, table):
         table = table.combine_chunks()
         cell = key[0].as_py()
-        x = _matrix(table.column("vector").combine_chunks(), dim)
-        ids, copies = (table.column(c).to_numpy() for c in ("id", "copies"))
-        own, left, right = (table.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("own", "is_left", "is_right"))
+        x = unit(_matrix(table.column("vector").combine_chunks(), dim))
+        ids, copies, home = (table.column(c).to_numpy() for c in ("id", "copies", "home"))
+        left, right = (table.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("is_left", "is_right"))
+        own = home == cell
         i, j = np.flatnonzero(left), np.flatnonzero(right)
         linked = x[i] @ x[j].T >= threshold
         # A pair of residents belongs to the block pair once; a visitor's pair to the smaller of the two cells that show it.
@@ -105,9 +111,8 @@ def _comparer(centres: np.ndarray, margin: float, threshold: float):
         if key[1].as_py() == key[2].as_py():
             linked &= ~(both_own & (ids[i][:, None] > ids[j][None, :]))
         if not own[i].all():
-            home = (x[i] @ centres.T).argmax(axis=1)
-            seen_there = _near(x[j] @ centres.T, margin)[:, home].T
-            linked &= own[i][:, None] | (home > cell)[:, None] | ~seen_there
+            seen_there = _near(x[j] @ centres.T, margin)[:, home[i]].T
+            linked &= own[i][:, None] | (home[i] > cell)[:, None] | ~seen_there
         n_left, n_right = linked @ copies[j], copies[i] @ linked
         some_l, some_r = n_left > 0, n_right > 0
         if not some_l.any():
@@ -126,8 +131,9 @@ def _links(vectors: DataFrame, dim: int, *, threshold: float, margin: float, sam
     rows = part.toArrow().column("vector").combine_chunks()
     cells = min(MOST_CELLS, math.ceil(n / cell_rows))
     centres = fit_cells(unit(_matrix(rows, dim)), cells)
-    dealt = vectors.select("id", "vector").mapInArrow(_dealer(centres, margin), "id long, cell int, own boolean, vector array<double>")
-    dealt = materialize(dealt.join(vectors.select("id", "copies"), "id"))
+    kind = vectors.schema["vector"].dataType.simpleString()
+    dealt = vectors.select("id", "copies", "vector").mapInArrow(_dealer(centres, margin), f"id long, copies long, cell int, home int, vector {kind}")
+    dealt = materialize(dealt).withColumn("own", F.col("home") == F.col("cell"))
     counts = dealt.groupBy("cell").agg(F.count_if("own").alias("o"), F.count_if(~F.col("own")).alias("v"))
     # Residents and visitors of a cell are dealt into blocks; a task has one block of either beside one of residents.
     counts = counts.select("cell", F.ceil(F.col("o") / BLOCK).cast("int").alias("o"), F.ceil(F.col("v") / BLOCK).cast("int").alias("v"))
@@ -151,8 +157,8 @@ def _links(vectors: DataFrame, dim: int, *, threshold: float, margin: float, sam
         pairs(F.col("o"), end, lambda q: task(q, me, False, True)),
     )
     visitor = pairs(F.lit(0), last, lambda q: task(me, q, True, False))
-    tasks = dealt.select("id", "copies", "own", "vector", "cell", F.explode(F.when(F.col("own"), resident).otherwise(visitor)).alias("t"))
-    tasks = tasks.select("id", "copies", "own", "vector", "cell", "t.l", "t.r", "t.is_left", "t.is_right")
+    tasks = dealt.select("id", "copies", "home", "vector", "cell", F.explode(F.when(F.col("own"), resident).otherwise(visitor)).alias("t"))
+    tasks = tasks.select("id", "copies", "home", "vector", "cell", "t.l", "t.r", "t.is_left", "t.is_right")
     return tasks.groupBy("cell", "l", "r").applyInArrow(_comparer(centres, margin, threshold), "id long, links long, to long")
 
 
@@ -180,7 +186,9 @@ def near_duplicates(
     those added are replaced; an empty table gives no rows.
     """
     vectors = without(vectors, ["n_links", "component_id", "kept"])
-    v = F.col("embedding").cast("array<double>")
+    # Components of single precision stay so until they are compared: half the bytes to shuffle, and exact as doubles.
+    single = vectors.schema["embedding"].dataType.simpleString() == "array<float>"
+    v = F.col("embedding") if single else F.col("embedding").cast("array<double>")
     good = F.exists(v, lambda c: c != 0) & F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     rows = vectors.withColumn("__vector", F.when(good, v))
     distinct = rows.where("__vector IS NOT NULL").groupBy(F.col("__vector").alias("vector")).agg(F.count("*").alias("copies"), F.min("vec_id").alias("least"))

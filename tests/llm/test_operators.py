@@ -308,6 +308,20 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch, block, cell):
     assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in out)
 
 
+def test_vectors_of_single_precision_are_compared_in_double(spark, monkeypatch):
+    """Pairs whose cosine is 0.9 but for what single precision would round away: linked just where the doubles say so."""
+    monkeypatch.setattr(embeddings, "BLOCK", 16)
+    rng = np.random.default_rng(8)
+    a, o = embeddings.unit(rng.standard_normal((60, 12))), rng.standard_normal((60, 12))
+    o = embeddings.unit(o - (o * a).sum(axis=1, keepdims=True) * a)
+    x = np.concatenate((a, 0.9 * a + np.sqrt(0.19) * o)).astype(np.float32)
+    rows = [(k, v.tolist()) for k, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    out = embeddings.near_duplicates(df, cell_rows=20, margin=2.0)
+    assert out.schema["embedding"] == df.schema["embedding"]
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in out.collect()) == sorted(brute_links(rows))
+
+
 def test_recall_of_pairs_just_above_the_threshold_alone(spark):
     rng = np.random.default_rng(3)
     a, o = embeddings.unit(rng.standard_normal((1500, 16))), rng.standard_normal((1500, 16))
