@@ -20,8 +20,8 @@ SAMPLE = 20_000
 CELL_ROWS, MOST_CELLS = 2_000, 4_096
 #: A vector also visits the cells whose centres it is nearly as close to as to its own, by this much in cosine.
 MARGIN = 0.2
-#: Vectors in a block, on average.
-BLOCK = 2_048
+#: Vectors in a block of residents, on average, and how many times more in one of visitors: residents are sent once for each.
+BLOCK, VISITORS = 2_048, 4
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -79,13 +79,18 @@ def _dealer(centres: np.ndarray, margin: float):
     return deal
 
 
+def _least(linked: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """The smallest label of the columns linked with each row, some rows at a time."""
+    big = np.iinfo(np.int64).max
+    return np.concatenate([np.where(linked[s : s + 256], labels, big).min(axis=1, initial=big) for s in range(0, len(linked), 256)])
+
+
 def _forest(linked: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Links that keep linked vectors connected, at most one for each row and each column: everything's smallest id."""
     label_l, label_r = left.copy(), right.copy()
-    big = np.iinfo(np.int64).max
     while True:
-        new_l = np.minimum(label_l, np.where(linked, label_r[None, :], big).min(axis=1, initial=big))
-        new_r = np.minimum(label_r, np.where(linked, new_l[:, None], big).min(axis=0, initial=big))
+        new_l = np.minimum(label_l, _least(linked, label_r))
+        new_r = np.minimum(label_r, _least(linked.T, new_l))
         if (new_l == label_l).all() and (new_r == label_r).all():
             return np.concatenate((left, right)), np.concatenate((label_l, label_r))
         label_l, label_r = new_l, new_r
@@ -101,25 +106,28 @@ def _comparer(centres: np.ndarray, margin: float, threshold: float):
         x = unit(_matrix(table.column("vector").combine_chunks(), dim))
         ids, copies, home = (table.column(c).to_numpy() for c in ("id", "copies", "home"))
         left, right = (table.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("is_left", "is_right"))
-        own = home == cell
         i, j = np.flatnonzero(left), np.flatnonzero(right)
-        linked = x[i] @ x[j].T >= threshold
-        # A pair of residents belongs to the block pair once; a visitor's pair to the smaller of the two cells that show it.
-        both_own = own[i][:, None] & own[j][None, :]
-        same = ids[i][:, None] == ids[j][None, :]
-        linked &= ~same
-        if key[1].as_py() == key[2].as_py():
-            linked &= ~(both_own & (ids[i][:, None] > ids[j][None, :]))
-        if not own[i].all():
-            seen_there = _near(x[j] @ centres.T, margin)[:, home[i]].T
-            linked &= own[i][:, None] | (home[i] > cell)[:, None] | ~seen_there
-        n_left, n_right = linked @ copies[j], copies[i] @ linked
+        visitors = (home[i] != cell).any()
+        seen = _near(x[j] @ centres.T, margin) if visitors else None
+        linked, n_left, n_right = np.zeros((len(i), len(j)), bool), np.zeros(len(i), np.int64), np.zeros(len(j), np.int64)
+        for s in range(0, len(i), 1024):
+            k = i[s : s + 1024]
+            part = x[k] @ x[j].T >= threshold
+            part &= ids[k][:, None] != ids[j][None, :]
+            # A pair of residents belongs to the block pair once; a visitor's pair to the smaller of the two cells that show it.
+            if key[1].as_py() == key[2].as_py():
+                part &= ids[k][:, None] <= ids[j][None, :]
+            if visitors:
+                part &= (home[k] >= cell)[:, None] | ~seen[:, home[k]].T
+            linked[s : s + 1024] = part
+            n_left[s : s + 1024] = part @ copies[j]
+            n_right += copies[k] @ part
         some_l, some_r = n_left > 0, n_right > 0
         if not some_l.any():
             return pa.table({"id": pa.array([], pa.int64()), "links": pa.array([], pa.int64()), "to": pa.array([], pa.int64())})
         i, j, n_left, n_right = i[some_l], j[some_r], n_left[some_l], n_right[some_r]
         nodes, to = _forest(linked[some_l][:, some_r], ids[i], ids[j])
-        return pa.table({"id": pa.array(nodes, pa.int64()), "links": pa.array(np.concatenate((n_left, n_right)).astype(np.int64)), "to": pa.array(to, pa.int64())})
+        return pa.table({"id": pa.array(nodes, pa.int64()), "links": pa.array(np.concatenate((n_left, n_right)), pa.int64()), "to": pa.array(to, pa.int64())})
 
     return compare
 
@@ -136,7 +144,7 @@ def _links(vectors: DataFrame, dim: int, *, threshold: float, margin: float, sam
     dealt = materialize(dealt).withColumn("own", F.col("home") == F.col("cell"))
     counts = dealt.groupBy("cell").agg(F.count_if("own").alias("o"), F.count_if(~F.col("own")).alias("v"))
     # Residents and visitors of a cell are dealt into blocks; a task has one block of either beside one of residents.
-    counts = counts.select("cell", F.ceil(F.col("o") / BLOCK).cast("int").alias("o"), F.ceil(F.col("v") / BLOCK).cast("int").alias("v"))
+    counts = counts.select("cell", F.ceil(F.col("o") / BLOCK).cast("int").alias("o"), F.ceil(F.col("v") / (VISITORS * BLOCK)).cast("int").alias("v"))
     dealt = dealt.join(F.broadcast(counts), "cell")  # at most MOST_CELLS rows
     block = F.pmod(F.xxhash64("id", F.lit(7)), F.when(F.col("own"), F.col("o")).otherwise(F.col("v"))).cast("int")
     dealt = dealt.withColumn("block", F.when(F.col("own"), block).otherwise(F.col("o") + block))
