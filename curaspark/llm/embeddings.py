@@ -20,6 +20,8 @@ SAMPLE = 20_000
 CELL_ROWS, MOST_CELLS = 2_000, 4_096
 #: A vector also visits the cells whose centres it is nearly as close to as to its own, by this much in cosine.
 MARGIN = 0.2
+#: Added to margins, for the rounding of distances between centres.
+ROUNDING = 1e-7
 #: Vectors in a block of residents, on average, and how many times more in one of visitors: residents are sent once for each.
 BLOCK, VISITORS = 2_048, 4
 
@@ -44,16 +46,26 @@ def fit_cells(x: np.ndarray, k: int, rounds: int = 8, seed: int = 0) -> np.ndarr
     return centres
 
 
-def _near(dots: np.ndarray, margin: float) -> np.ndarray:
-    """Which cells a vector visits, its own among them."""
-    return dots >= dots.max(axis=1, keepdims=True) - margin
+def _visits(x: np.ndarray, centres: np.ndarray, margin: float, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """The home cell of each unit vector, and which cells it visits, its own among them.
+
+    Two vectors are at most sqrt(2 - 2 * threshold) apart if they are linked. If they have different homes, the plane between the two
+    centres is between them, so one of them is within half of that from the plane, which as a difference of cosines is that half times
+    the distance of the centres. Wherever this is less than the margin, no link is lost.
+    """
+    dots = x @ centres.T
+    home = dots.argmax(axis=1)
+    homes, row = np.unique(home, return_inverse=True)
+    apart = np.sqrt(np.maximum(2 - 2 * (centres[homes] @ centres.T), 0))
+    enough = np.minimum(margin, math.sqrt(max(2 - 2 * threshold, 0)) / 2 * apart + ROUNDING)
+    return home, dots >= dots[np.arange(len(x)), home][:, None] - enough[row]
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return np.asarray(column.flatten().to_numpy(zero_copy_only=False), dtype=np.float64).reshape(len(column), dim)
 
 
-def _dealer(centres: np.ndarray, margin: float):
+def _dealer(centres: np.ndarray, margin: float, threshold: float):
     """(id, copies, cell, home, vector as given) for each cell that a vector visits."""
     dim = centres.shape[1]
 
@@ -61,9 +73,8 @@ def _dealer(centres: np.ndarray, margin: float):
         for batch in batches:
             for start in range(0, batch.num_rows, 1024):
                 part = batch.slice(start, 1024)
-                dots = unit(_matrix(part.column("vector"), dim)) @ centres.T
-                home = dots.argmax(axis=1)
-                row, cell = np.nonzero(_near(dots, margin))
+                home, visited = _visits(unit(_matrix(part.column("vector"), dim)), centres, margin, threshold)
+                row, cell = np.nonzero(visited)
                 take = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -108,7 +119,7 @@ def _comparer(centres: np.ndarray, margin: float, threshold: float):
         left, right = (table.column(c).to_numpy(zero_copy_only=False).astype(bool) for c in ("is_left", "is_right"))
         i, j = np.flatnonzero(left), np.flatnonzero(right)
         visitors = (home[i] != cell).any()
-        seen = _near(x[j] @ centres.T, margin) if visitors else None
+        seen = _visits(x[j], centres, margin, threshold)[1] if visitors else None
         linked, n_left, n_right = np.zeros((len(i), len(j)), bool), np.zeros(len(i), np.int64), np.zeros(len(j), np.int64)
         for s in range(0, len(i), 1024):
             k = i[s : s + 1024]
@@ -140,7 +151,7 @@ def _links(vectors: DataFrame, dim: int, *, threshold: float, margin: float, sam
     cells = min(MOST_CELLS, math.ceil(n / cell_rows))
     centres = fit_cells(unit(_matrix(rows, dim)), cells)
     kind = vectors.schema["vector"].dataType.simpleString()
-    dealt = vectors.select("id", "copies", "vector").mapInArrow(_dealer(centres, margin), f"id long, copies long, cell int, home int, vector {kind}")
+    dealt = vectors.select("id", "copies", "vector").mapInArrow(_dealer(centres, margin, threshold), f"id long, copies long, cell int, home int, vector {kind}")
     dealt = materialize(dealt).withColumn("own", F.col("home") == F.col("cell"))
     counts = dealt.groupBy("cell").agg(F.count_if("own").alias("o"), F.count_if(~F.col("own")).alias("v"))
     # Residents and visitors of a cell are dealt into blocks; a task has one block of either beside one of residents.
@@ -184,10 +195,10 @@ def near_duplicates(
     vec_id that links reach, its own included; kept: vec_id = component_id (false for a null vec_id).
 
     Equal vectors are compared once and counted by their copies. Cells are fitted on at most `sample` vectors (those of the
-    smallest hashes); every vector is a resident of its nearest cell and a visitor of those nearly as near (`margin`), and is
-    compared with all residents there, block by block. Counts are exact for the pairs found; a block pair sends on links that
+    smallest hashes); every vector is a resident of its nearest cell and a visitor of those nearly as near (by `margin`, or by less
+    where less loses nothing), and is compared with all residents there, block by block. Counts are exact for the pairs found; a block pair sends on links that
     keep its vectors connected, not all pairs. No pair below the threshold is linked. With random differences a pair at the
-    threshold itself is missed well below once in a hundred; a margin of 2 compares all with all.
+    threshold itself is missed well below once in a hundred; with a margin of 2 none is.
 
     Vectors that are null, zero, or hold null or non-finite components link with nothing, nor do vectors of different lengths.
     Null vec_ids are no component ids unless all are null. Rows that repeat link with each other. Columns named like

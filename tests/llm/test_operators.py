@@ -322,6 +322,17 @@ def test_vectors_of_single_precision_are_compared_in_double(spark, monkeypatch):
     assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in out.collect()) == sorted(brute_links(rows))
 
 
+def test_visits_lose_no_link_and_are_few_where_cells_are_clear():
+    rng = np.random.default_rng(4)
+    x = embeddings.unit(rng.standard_normal((800, 6)))
+    centres = embeddings.fit_cells(x, 20)
+    home, visited = embeddings._visits(x, centres, 2.0, 0.9)
+    a, b = np.nonzero(x @ x.T >= 0.9)
+    assert (home[a] != home[b]).any() and (visited[a, home[b]] | visited[b, home[a]]).all() and visited[np.arange(800), home].all()
+    tight = embeddings.unit(np.repeat(np.eye(6), 50, axis=0) + rng.standard_normal((300, 6)) * 0.02)
+    assert (embeddings._visits(tight, np.eye(6), 2.0, 0.9)[1].sum(axis=1) == 1).all()
+
+
 def test_recall_of_pairs_just_above_the_threshold_alone(spark):
     rng = np.random.default_rng(3)
     a, o = embeddings.unit(rng.standard_normal((1500, 16))), rng.standard_normal((1500, 16))
