@@ -23,8 +23,9 @@ ROUNDS = 3
 SIGNED = 1 << 12
 #: Shingles after which a task sends a batch on.
 SENT = 1 << 18
-#: Shingles of the documents in a block, on average, where members of a bucket are compared with all others.
-BLOCK = 100_000
+#: Shingles of the documents in a block, on average, where members of a bucket are compared with all others. Beyond SIDES blocks they
+#: grow instead, up to LARGEST shingles, so that a document is sent at most twice SIDES times until then.
+BLOCK, SIDES, LARGEST = 100_000, 16, 1_000_000
 #: Tables of row ids are broadcast up to so many rows; beyond that the texts are shuffled.
 FEW_ROWS = 1_000_000
 
@@ -204,6 +205,35 @@ def _block_comparer(threshold: float):
     return compare
 
 
+def _parted(members: DataFrame, by: list[str]) -> DataFrame:
+    """(by, big, lefts, rights, sent): the largest component of each group of members, the numbers of blocks of all others and of all, and
+    how many shingles comparing these sends."""
+    parts = members.groupBy(*by, "root").agg(F.sum("n").alias("tokens"))
+    groups = parts.groupBy(*by).agg(F.max(F.struct("tokens", "root")).alias("big"), F.sum("tokens").alias("tokens"))
+    block, others = F.greatest(F.lit(BLOCK), F.least(F.lit(LARGEST), F.col("tokens") / SIDES)), F.col("tokens") - F.col("big.tokens")
+    groups = groups.withColumn("lefts", F.ceil(others / block).cast("int")).withColumn("rights", F.ceil(F.col("tokens") / block).cast("int"))
+    sent = F.col("lefts") * F.col("tokens") + F.col("rights") * others
+    return groups.select(*by, F.col("big.root").alias("big"), "lefts", "rights", sent.alias("sent"))
+
+
+def _merged(members: DataFrame) -> DataFrame:
+    """members (bucket, rid, n, root) with one bucket instead of several that hang together, where comparing all in it sends no more.
+
+    Similar documents share most of their buckets, so each of them would be taken, and each pair compared, once for each. What shares a
+    bucket is still together. Buckets that hang together by chains of other documents stay as they are if they are smaller.
+    """
+    members = members.select("bucket", "rid", "n", "root")
+    first = members.groupBy("bucket").agg(F.min("rid").alias("first"))
+    chained = components(members.join(first, "bucket"), "rid", "first").select(F.col("node").alias("rid"), F.col("root").alias("cluster"))
+    members = materialize(members.join(chained, "rid", "left").withColumn("cluster", F.coalesce("cluster", "rid")))
+    whole = members.select("cluster", "rid", "n", "root").distinct()
+    apart = _parted(members, ["cluster", "bucket"]).groupBy("cluster").agg(F.sum("sent").alias("apart"))
+    cheap = _parted(whole, ["cluster"]).join(apart, "cluster").where("sent <= apart").select("cluster")
+    cheap = few(materialize(cheap), FEW_ROWS)
+    whole = whole.join(cheap, "cluster", "left_semi").withColumnRenamed("cluster", "bucket")
+    return whole.union(members.join(cheap, "cluster", "left_anti").select("bucket", "rid", "n", "root"))
+
+
 def _rest(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Links (a, b) between components that share a bucket (members: bucket, rid, n, root).
 
@@ -223,15 +253,7 @@ def _rest(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     placed = materialize(members.join(rare, "rid"))
     several = placed.groupBy("bucket", "token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("bucket", "token")
     members = materialize(placed.join(several, ["bucket", "token"], "left_semi").select("bucket", "rid", "n", "root").distinct())
-    parts = members.groupBy("bucket", "root").agg(F.sum("n").alias("tokens"))
-    buckets = parts.groupBy("bucket").agg(F.max(F.struct("tokens", "root")).alias("big"), F.sum("tokens").alias("tokens"))
-    buckets = buckets.select(
-        "bucket",
-        F.col("big.root").alias("big"),
-        F.ceil((F.col("tokens") - F.col("big.tokens")) / BLOCK).cast("int").alias("lefts"),
-        F.ceil(F.col("tokens") / BLOCK).cast("int").alias("rights"),
-    )
-    dealt = members.join(materialize(buckets.where("lefts > 0")), "bucket")
+    dealt = members.join(few(materialize(_parted(members, ["bucket"]).where("lefts > 0").drop("sent")), FEW_ROWS), "bucket")
 
     def tasks(side: DataFrame, own: str, other: str, left: bool) -> DataFrame:
         block = F.pmod(F.xxhash64("rid", F.lit(3 if left else 5)), F.col(own)).cast("int").alias("i" if left else "j")
@@ -249,8 +271,8 @@ def links(docs: DataFrame, *, width: int = WIDTH, threshold: float = THRESHOLD,
     Rows of the same words are one class and go on as one representative. In each bucket of the banded signatures, members are
     compared with one of them, which is then done with there, and by rounds with another one, unless they are in its component
     already: as many pairs as members, never all. A bucket of at most ROUNDS + 1 members is wholly compared so. What then is
-    still in several components and shares rare shingles is compared block by block (see _rest()), so that no link which a shared bucket
-    shows is lost; a large group of copies is mostly one component by then, as the likely original is compared first. All comparisons are of hashed shingles, which are made once for the documents
+    still in several components and shares rare shingles is compared block by block, buckets that hang together as one where that is
+    less (see _merged() and _rest()), so that no link which a shared bucket shows is lost; a large group of copies is mostly one component by then, as the likely original is compared first. All comparisons are of hashed shingles, which are made once for the documents
     that share a bucket.
     """
     texts = docs.select("__rid", "text")
@@ -283,7 +305,7 @@ def links(docs: DataFrame, *, width: int = WIDTH, threshold: float = THRESHOLD,
         near = compared.where(F.col("similarity") >= threshold).select("a", "b")
         found = near if found is None else found.union(near)
         placed = _rooted(placed.select("bucket", "rid", "n", "central"), found)
-    return members, found.union(_rest(placed, sets, threshold))
+    return members, found.union(_rest(_merged(placed), sets, threshold))
 
 
 def _rooted(placed: DataFrame, found: DataFrame) -> DataFrame:

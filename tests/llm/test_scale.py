@@ -251,3 +251,51 @@ def test_a_bucket_of_dissimilar_documents_gives_no_pairs(spark, monkeypatch, n):
     assert [tuple(r) for r in minhash._rest(members, sets, 0.8).collect()] in ([(0, n)], [(n, 0)])
     # Of all members, those of the one pair went on to be compared.
     assert sorted(r["rid"] for r in sent[1].collect()) == [0, n]
+
+
+def test_documents_just_short_of_the_threshold_are_taken_once_not_for_each_bucket(spark, monkeypatch):
+    """40 documents of one origin, each with two to four words changed: few pairs are links, but most share buckets and rare shingles."""
+    rng = random.Random(5)
+    origin = [f"w{i}" for i in range(200)]
+    texts = []
+    for i in range(40):
+        words = list(origin)
+        for k in rng.sample(range(200), 2 + i % 3):
+            words[k] = f"changed{i}of{k}"
+        texts.append(" ".join(words))
+    docs = common.materialize(spark.createDataFrame(list(enumerate(texts)), "__rid long, text string"))
+    sent = []
+    inner = minhash.materialize
+    monkeypatch.setattr(minhash, "materialize", lambda df: sent.append(inner(df)) or sent[-1])
+    out = [tuple(r) for r in minhash.links(docs)[1].collect()]
+    counts = [shingle_counts(x) for x in texts]
+    near = {(a, b) for a in range(40) for b in range(a + 1, 40) if jaccard(counts[a], counts[b]) >= minhash.THRESHOLD}
+
+    def groups(pairs):
+        root = list(range(40))
+        for _ in root:
+            for a, b in pairs:
+                root[a] = root[b] = min(root[a], root[b])
+        return root
+
+    assert near and {(min(p), max(p)) for p in out} <= near and groups(out) == groups(near)
+    # Of each document its rarest shingles went on, a fifth or so, not those times the number of its buckets.
+    placed = [df for df in sent if "token" in df.columns]
+    assert len(placed) == 1 and 0 < placed[0].count() < 40 * 196 / 4
+
+
+def test_buckets_are_merged_where_that_sends_no_more(spark):
+    def chain(buckets):
+        return spark.range(buckets).selectExpr("id as bucket", "explode(sequence(9 * id, 9 * id + 9)) as rid", "60 as n").selectExpr("*", "rid as root")
+
+    assert minhash._merged(chain(20)).agg(F.count_distinct("bucket"), F.count("*"), F.count_distinct("rid")).first() == (1, 181, 181)
+    assert minhash._merged(chain(300)).agg(F.count_distinct("bucket"), F.count("*"), F.count_distinct("rid")).first() == (300, 3000, 2701)
+    same = spark.range(900).selectExpr("id % 30 as bucket", "id div 30 as rid", "60 as n", "id div 30 as root")
+    assert sorted(tuple(r) for r in minhash._merged(same).collect()) == [(0, i, 60, i) for i in range(30)]
+    assert minhash._merged(same.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("tokens, blocks", [(90_000, 1), (1_600_000, 16), (3_200_000, 16), (32_000_000, 32)])
+def test_blocks_grow_with_a_bucket(spark, tokens, blocks):
+    members = spark.range(80).selectExpr("1L as bucket", "id as rid", f"{tokens} div 80 as n", "id as root")
+    assert [r["rights"] for r in minhash._parted(members, ["bucket"]).collect()] == [blocks]
