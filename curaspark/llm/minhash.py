@@ -28,6 +28,8 @@ SENT = 1 << 18
 BLOCK, SIDES, LARGEST = 100_000, 16, 1_000_000
 #: Tables of row ids are broadcast up to so many rows; beyond that the texts are shuffled.
 FEW_ROWS = 1_000_000
+#: Shingles told as frequent are those of more than FREQUENT documents, and so many at most.
+FREQUENT, MOST_FREQUENT = 8, 50_000
 
 #: Poisson(1) distribution function, to draw the number of darts in a cell of unit area.
 _POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(20)])
@@ -205,6 +207,47 @@ def _block_comparer(threshold: float):
     return compare
 
 
+def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(token, rows): in how many documents each token occurs, in parts."""
+
+    def counted() -> pa.RecordBatch:
+        token, rows = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(token), pa.array(rows)], names=["token", "rows"])
+
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch.column("tokens").flatten().to_numpy())
+        size += len(held[-1])
+        if size >= SENT:
+            yield counted()
+            held, size = [], 0
+    if size:
+        yield counted()
+
+
+def _prefixes(token: np.ndarray, rows: np.ndarray, threshold: float):
+    """(rid, tokens): the first n - ceil(threshold * n) + 1 tokens of each set of n, in an order that all sets share: those not among the
+    frequent ones (token, sorted, in so many rows) by value, then these from the least frequent on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = batch.column("tokens")
+            ends, values = sets.offsets.to_numpy(), sets.values.to_numpy()
+            out = []
+            for low, high in zip(ends[:-1], ends[1:]):
+                mine = values[low:high]
+                often = np.zeros(len(mine), np.int64)
+                if len(token):
+                    at = np.minimum(np.searchsorted(token, mine), len(token) - 1)
+                    often = np.where(token[at] == mine, rows[at], 0)
+                prefix = len(mine) - math.ceil(threshold * len(mine) - 1e-9) + 1
+                out.append(mine[np.lexsort((mine, often))[:prefix]])
+            if out:
+                yield _token_batch(batch.column("rid").to_pylist(), out)
+
+    return run
+
+
 def _parted(members: DataFrame, by: list[str]) -> DataFrame:
     """(by, big, lefts, rights, sent): the largest component of each group of members, the numbers of blocks of all others and of all, and
     how many shingles comparing these sends."""
@@ -231,7 +274,7 @@ def _merged(members: DataFrame) -> DataFrame:
     cheap = _parted(whole, ["cluster"]).join(apart, "cluster").where("sent <= apart").select("cluster")
     cheap = few(materialize(cheap), FEW_ROWS)
     whole = whole.join(cheap, "cluster", "left_semi").withColumnRenamed("cluster", "bucket")
-    return whole.union(members.join(cheap, "cluster", "left_anti").select("bucket", "rid", "n", "root"))
+    return materialize(whole.union(members.join(cheap, "cluster", "left_anti").select("bucket", "rid", "n", "root")))
 
 
 def _rest(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -244,13 +287,13 @@ def _rest(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """
     members = members.select("bucket", "rid", "n", "root")
     there = sets.join(few(members.select("rid").distinct(), FEW_ROWS), "rid", "left_semi")
-    tokens = there.select("rid", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
-    rows = tokens.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1")
-    # Tokens of one document alone are its rarest and join nothing: they only use up places of its prefix.
-    ranked = tokens.join(rows, "token").groupBy("rid").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("rows", "token"))).alias("found"))
-    prefix = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9) + 1 - (F.col("n") - F.size("found"))
-    rare = ranked.select("rid", F.explode(F.slice("found", F.lit(1), F.greatest(prefix, F.lit(0)).cast("int"))["token"]).alias("token"))
-    placed = materialize(members.join(rare, "rid"))
+    # Any order of all tokens will do; that of the frequent ones is what keeps common passages out of the prefixes.
+    least = max(FREQUENT, (there.agg(F.sum(F.size("tokens"))).first()[0] or 0) // MOST_FREQUENT)
+    rows = there.select("tokens").mapInArrow(_counter, "token long, rows long").groupBy("token").agg(F.sum("rows").alias("rows"))
+    often = sorted(tuple(r) for r in rows.where(F.col("rows") > least).collect())
+    token, rows = (np.array([x[k] for x in often], np.int64) for k in (0, 1))
+    rare = there.select("rid", "tokens").mapInArrow(_prefixes(token, rows, threshold), "rid long, tokens array<long>")
+    placed = materialize(members.join(rare, "rid").select("bucket", "rid", "n", "root", F.explode("tokens").alias("token")))
     several = placed.groupBy("bucket", "token").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("bucket", "token")
     members = materialize(placed.join(several, ["bucket", "token"], "left_semi").select("bucket", "rid", "n", "root").distinct())
     dealt = members.join(few(materialize(_parted(members, ["bucket"]).where("lefts > 0").drop("sent")), FEW_ROWS), "bucket")

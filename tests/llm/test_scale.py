@@ -299,3 +299,14 @@ def test_buckets_are_merged_where_that_sends_no_more(spark):
 def test_blocks_grow_with_a_bucket(spark, tokens, blocks):
     members = spark.range(80).selectExpr("1L as bucket", "id as rid", f"{tokens} div 80 as n", "id as root")
     assert [r["rights"] for r in minhash._parted(members, ["bucket"]).collect()] == [blocks]
+
+
+def test_prefixes_of_similar_sets_meet_whatever_is_told_frequent(spark):
+    rng = np.random.default_rng(7)
+    token = np.unique(rng.integers(-(1 << 62), 1 << 62, 30))
+    inner = minhash._prefixes(token, rng.integers(9, 99, len(token)), 0.8)
+    for n in (1, 2, 5, 50):
+        x = np.unique(np.concatenate((rng.choice(token, min(n, 20), replace=False), rng.integers(0, 1 << 62, n))))
+        y = np.concatenate((x[: len(x) - len(x) // 10], rng.integers(0, 1 << 62, len(x) // 10)))
+        a, b = (set(r) for batch in inner(iter([minhash._token_batch([0, 1], [x, y])])) for r in batch.column("tokens").to_pylist())
+        assert len(a) == len(x) - int(np.ceil(0.8 * len(x) - 1e-9)) + 1 and a & b
