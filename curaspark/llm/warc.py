@@ -10,7 +10,7 @@ from collections.abc import Iterator
 from datetime import UTC, datetime
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import _written, materialize, repeatable, scratch_dir, with_rid
@@ -66,8 +66,11 @@ def write_archives(pages: DataFrame, path: str | None = None, *, least_bytes: in
     path = path or scratch_dir(spark)
     size = r.agg(F.sum("payload_bytes")).first()[0] or 0
     files = max(1, math.ceil(size / file_bytes), min(spark.sparkContext.defaultParallelism, math.ceil(size / SMALL_BYTES)))
-    seen = revisits(r, least_bytes)
-    joined = r.repartition(files, "rid").join(seen.repartition(files, "rid"), "rid", "left")
+    # Payloads are dealt once, together with the rows of revisits (no payload). A join would have at least spark.sql.shuffle.partitions
+    # partitions, and where Spark turns it into another one while it runs, payloads would be dealt again into `files`.
+    seen = revisits(r, least_bytes).select("rid", "refers_rid", "refers_url")
+    dealt, record = r.unionByName(seen, allowMissingColumns=True).repartition(files, "rid"), Window.partitionBy("rid")
+    joined = dealt.withColumns({c: F.max(c).over(record) for c in ("refers_rid", "refers_url")}).where("payload IS NOT NULL")
     revisit = F.col("refers_rid").isNotNull()
     http = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("payload_bytes").cast("string"), F.lit("\r\n\r\n")

@@ -260,6 +260,36 @@ def test_headers_of_revisits(spark, tmp_path):
     assert revisit["warc-refers-to-date"] == response["warc-date"] == "2024-05-06T07:08:09Z" and path
 
 
+def shuffled(spark, act) -> int:
+    """Bytes that act() shuffles."""
+    sc = spark.sparkContext._jsc.sc()
+
+    def stages() -> dict:
+        sc.listenerBus().waitUntilEmpty(60_000)
+        none = spark.sparkContext._jvm.java.util.ArrayList()
+        got = sc.statusStore().stageList(none, False, False, spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0), none)
+        return {s.stageId(): s.shuffleWriteBytes() for s in map(got.apply, range(got.size()))}
+
+    before = stages()
+    act()
+    return sum(v for k, v in stages().items() if k not in before)
+
+
+@pytest.mark.parametrize("copies", [0, 1, 40])
+def test_payloads_are_shuffled_once(spark, copies):
+    rng = random.Random(9)
+    texts = [rng.randbytes(8000).hex() for _ in range(120)]
+    rows = [(i, f"http://x/{i}", h) for i, h in enumerate(texts + texts[:copies])]
+    df = common.materialize(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3))
+    paths = []
+    n = sum(len(h) for _, _, h in rows)
+    assert 0.5 * n < shuffled(spark, lambda: paths.append(warc.write_archives(df, file_bytes=n // 2))) < 1.4 * n
+    recs = warc.read_archives(spark, paths[0]).collect()
+    assert spark.read.format("binaryFile").load(paths[0]).count() == 2
+    assert sorted(int(r["page_id"]) for r in recs) == list(range(120 + copies))
+    assert sorted(int(r["page_id"]) for r in recs if r["record_type"] == "revisit") == list(range(copies))
+
+
 # --- 10 MinHash ------------------------------------------------------------------------------
 
 
